@@ -26,9 +26,7 @@ benchmark leaves all documents clean; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.llm.bytehash import Words
 from tagweave.llm.common import joined_bytes, slices, table
 
 #: Bytes of text in a segment of the index.
@@ -43,48 +42,10 @@ SEGMENT = 1 << 21
 #: Windows of the benchmark that a pass over the index takes along.
 BLOCK_WINDOWS = 200_000
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-@lru_cache(1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Whether a byte belongs to a word, and its hash value with A-Z as a-z."""
-    word = np.zeros(256, bool)
-    for a, b in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
-        word[a : b + 1] = True
-    value = np.random.default_rng(7).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    value[0x41:0x5B] = value[0x61:0x7B]
-    return word, value
-
-
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash's base and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        inverse = np.uint64(pow(int(_BASE), -1, 2**64))
-        for name, x in (("up", _BASE), ("down", inverse)):
-            p = np.full(size, x, np.uint64)
-            p[0] = 1
-            _powers[name] = np.multiply.accumulate(p)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start of each word in these bytes and its 64-bit hash."""
-    is_word, value = _tables()
-    inside = is_word[data]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = _power(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(value[data] * up[: len(data)], out=total[1:])
-    h = (total[end] - total[start]) * down[start]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return start, h ^ (h >> np.uint64(32))
+    words = Words(data)
+    return words.start, words.hashes()
 
 
 def build_index(docs: DataFrame) -> DataFrame:
