@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,15 +93,14 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 
 class Segment:
-    """One row of the index, opened."""
-
-    def __init__(self, row: dict) -> None:
-        self.doc_ids = row["doc_ids"].tolist() if hasattr(row["doc_ids"], "tolist") else row["doc_ids"]
-        self.first = np.asarray(row["first"], np.int64)
-        self.n_words = np.asarray(row["n_words"], np.int64)
-        self.terms = np.frombuffer(row["terms"], np.uint64)
-        self.ends = np.cumsum(np.asarray(row["counts"], np.int64))
-        planes = np.frombuffer(row["positions"], np.uint8).reshape(4, -1)
+    """Row i of a batch of the index, opened."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int) -> None:
+        ints = lambda name: batch.column(name)[i].values.to_numpy().astype(np.int64)
+        self.first, self.n_words = ints("first"), ints("n_words")
+        self.terms = np.frombuffer(batch.column("terms")[i].as_py(), np.uint64)
+        self.ends = np.cumsum(ints("counts"))
+        planes = np.frombuffer(batch.column("positions")[i].as_py(), np.uint8).reshape(4, -1)
         self.steps = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
 
     def find(self, terms: np.ndarray) -> np.ndarray:
@@ -192,33 +190,34 @@ def _pass(index: DataFrame, rows: list[tuple], span: int | None) -> DataFrame:
     flat = np.frombuffer(b"".join(keys), np.uint64)
     sizes = np.array([len(k) // 8 for k in keys], np.int64)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = np.cumsum(sizes) - sizes
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                seg = Segment(row)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                seg = Segment(batch, i)
                 number = seg.find(flat)
-                all_here = np.minimum.reduceat(number, begin) >= 0 if len(begin) else np.zeros(0, bool)
                 starts: dict[int, list] = {}
                 names: dict[int, set] = {}
-                for w in np.flatnonzero(all_here).tolist():
+                for w in np.flatnonzero(np.minimum.reduceat(number, begin) >= 0).tolist():
                     numbers = number[begin[w] : begin[w] + sizes[w]]
                     found = seg.phrase(numbers) if span is None else seg.near(numbers, span)
                     for doc, at in zip((np.searchsorted(seg.first, found, side="right") - 1).tolist(), found.tolist()):
                         starts.setdefault(doc, []).append((at - int(seg.first[doc]), int(sizes[w]) if span is None else 1))
                         names.setdefault(doc, set()).update(items[w])
                 docs = sorted(starts)
-                yield pd.DataFrame(
-                    {
-                        "seg": [row["seg"]] * len(docs),
-                        "place": np.array(docs, np.int32),
-                        "starts": [[s for s, _ in starts[d]] for d in docs],
-                        "sizes": [[n for _, n in starts[d]] for d in docs],
-                        "items": [sorted(names[d]) for d in docs],
-                    }
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([batch.column("seg")[i].as_py()] * len(docs), pa.string()),
+                        pa.array(docs, pa.int32()),
+                        pa.array([[s for s, _ in starts[d]] for d in docs], pa.list_(pa.int32())),
+                        pa.array([[n for _, n in starts[d]] for d in docs], pa.list_(pa.int32())),
+                        pa.array([sorted(names[d]) for d in docs], pa.list_(pa.string())),
+                    ],
+                    names=["seg", "place", "starts", "sizes", "items"],
                 )
 
-    return index.mapInPandas(run, "seg string, place int, starts array<int>, sizes array<int>, items array<string>")
+    needed = index.select("seg", "first", "n_words", "terms", "counts", "positions")
+    return needed.mapInArrow(run, "seg string, place int, starts array<int>, sizes array<int>, items array<string>")
 
 
 def search(index: DataFrame, benchmark: DataFrame, window: int = 10, span: int | None = None, block: int = BLOCK_WINDOWS) -> DataFrame:
