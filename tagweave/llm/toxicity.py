@@ -33,8 +33,8 @@ from tagweave.llm.langid import held_out
 from tagweave.session import ship
 
 #: Labelled rows of each class that the model is fit on, at most (about).
-SAMPLE_ROWS = 3_000
-_SLICE = 1 << 20
+SAMPLE_ROWS = 2_500
+_SLICE = 1 << 18
 FOLDS = 5
 #: Insults, and second-person words, in the languages at hand.
 INSULTS = (
@@ -159,16 +159,16 @@ def learn_lexicon(tokens: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -
     """Hashes that at least three rows of class 1 hold and that say class 1 with evidence of 0.7 or more (the smoothed share)."""
     if not len(y) or not y.any():
         return np.zeros(0, np.uint64), np.zeros(0)
-    keys, at = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.uint64), return_inverse=True)
-    size = [len(t) for t in tokens]
-    rows = np.repeat(np.arange(len(y)), size)
-    n1 = np.bincount(at, weights=y[rows], minlength=len(keys))
-    w1 = np.bincount(at, weights=(y * weight)[rows], minlength=len(keys))
-    w0 = np.bincount(at, weights=((1 - y) * weight)[rows], minlength=len(keys))
+    keys, n1 = np.unique(np.concatenate([t for t, v in zip(tokens, y) if v == 1]), return_counts=True)
+    keys, n1 = keys[n1 >= 3], n1[n1 >= 3]
+    n0 = np.zeros(len(keys))
+    for t, v in zip(tokens, y):
+        if v == 0 and len(keys):
+            n0[np.searchsorted(keys, t[among(t, keys)])] += 1
+    w1, w0 = n1 * weight[y == 1].mean(), n0 * (weight[y == 0].mean() if (y == 0).any() else 0.0)
     prior = float((y * weight).sum() / weight.sum())
     share = (w1 + prior * 0.25) / (w1 + w0 + 0.25)
-    keep = (n1 >= 3) & (share >= 0.7)
-    return keys[keep], share[keep]
+    return keys[share >= 0.7], share[share >= 0.7]
 
 
 def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, trees: int = 80, depth: int = 3, rate: float = 0.15, bins: int = 32, lam: float = 1.0) -> dict:
@@ -257,18 +257,22 @@ class Model:
         return np.clip(np.interp(raw_scores(self.trees, _order(shape, batch.learnt(self.lexicon))), *self.knots), 0, 1)
 
 
-def fit(train: DataFrame) -> Model:
-    """train: doc_id, text, toxic (0 or 1)."""
-    ship(train.sparkSession)
+def fit(docs: DataFrame, known: DataFrame) -> Model:
+    """docs: doc_id, text; known: doc_id, toxic (0 or 1), a row a document.
+
+    The sample is drawn from the labels, so texts are not shuffled: its ids are broadcast.
+    """
+    ship(docs.sparkSession)
     none = np.zeros(0, np.uint64), np.zeros(0)
-    n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
+    n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return Model(none, None, None, float(1 in n))
     u = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     rate = F.when(F.col("toxic") == 1, min(1.0, SAMPLE_ROWS / n[1])).otherwise(min(1.0, SAMPLE_ROWS / n[0]))
     # copies mostly share their start, so they share their fold
     fold = F.pmod(F.xxhash64(F.substring("text", 1, 40)), F.lit(FOLDS)).cast("int").alias("fold")
-    picked, _ = table(train.filter(u < rate).select("doc_id", F.col("toxic").cast("int").alias("toxic"), fold, "text").limit(3 * SAMPLE_ROWS), "labelled")
+    some = known.filter(u < rate).select("doc_id", F.col("toxic").cast("int").alias("toxic")).limit(3 * SAMPLE_ROWS)
+    picked, _ = table(docs.join(F.broadcast(some), "doc_id").select("doc_id", "toxic", fold, "text"), "labelled")
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", _SLICE):
@@ -283,6 +287,7 @@ def fit(train: DataFrame) -> Model:
     part_of = rows["fold"].to_numpy()
     heavy = {1: n[1] / y.sum(), 0: n[0] / (len(y) - y.sum())}
     weight = np.where(y == 1, heavy[1], heavy[0])
+    del rows
     lexicons = []
     for f in [*range(FOLDS), -1]:
         rest = np.flatnonzero(part_of != f)
@@ -324,7 +329,6 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 def op4(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = docs.select("doc_id", "text").filter(~held_out(5, 0)).join(known, "doc_id")
-    model = fit(train)
+    model = fit(docs.select("doc_id", "text"), known.filter(~held_out(5, 0)))
     out = score(docs.select("doc_id", held_out(5, 0).alias("held_out"), "text"), model)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
