@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.plans import passages
+from tagweave.plans import catalog, passages
 
-_MODULES = (passages,)
+_MODULES = (passages, catalog)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
