@@ -140,8 +140,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines of one vector with rows, summed in one order whatever the number of rows."""
-    return np.clip(np.einsum("d,xd->x", _unit(q[None])[0], _unit(x), optimize=False), -1.0, 1.0)
+    """Cosines of paired rows (or of one row with each), summed in one order whatever the number of rows."""
+    return np.clip((_unit(q) * _unit(x)).sum(1), -1.0, 1.0)
 
 
 def _hits(ids: np.ndarray, x: np.ndarray, unit: np.ndarray, qid: int, q: np.ndarray, fast: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,14 +153,16 @@ def _hits(ids: np.ndarray, x: np.ndarray, unit: np.ndarray, qid: int, q: np.ndar
     else:
         near = np.flatnonzero(fast > -np.inf)
     near = near[ids[near] != qid]
-    score = _score(q, x[near])
+    score = _score(q[None], x[near])
     best = np.lexsort((ids[near], -score))[:k]
     return ids[near][best], score[best]
 
 
 OUT = "query_id long, vec_id long, score double, leaf int"
-#: Leaves (neighbours in the tree) whose rows one group of a search holds.
+#: Leaves (neighbours in the tree) whose rows one group of a search holds; scores and exact pairs held at once.
 GROUP_LEAVES = 32
+SCORES = 2_000_000
+PAIRS = 50_000
 
 
 def _search_groups(pairs: DataFrame, k: int) -> DataFrame:
@@ -169,28 +171,27 @@ def _search_groups(pairs: DataFrame, k: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         is_query = pdf["leaf"].isna().to_numpy()
         q, x = pdf[is_query], pdf[~is_query]
-        got: list[tuple] = []
+        got = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))]
         if not q.empty and not x.empty:
-            qid, qv = q["vec_id"].to_numpy(), _matrix(q["v"])
-            qu = _unit(qv)
-            leaf = x["leaf"].to_numpy().astype(np.int64)
-            visits: dict[int, list[int]] = {}
-            for i, some in enumerate(q["leaves"]):
-                for f in some:
-                    visits.setdefault(int(f), []).append(i)
-            ids, mat = x["vec_id"].to_numpy(), _matrix(x["v"])
-            unit = _unit(mat)
-            for f in sorted(set(leaf.tolist()) & set(visits)):
-                rows = np.flatnonzero(leaf == f)
-                for a in range(0, len(visits[f]), 256):
-                    some = visits[f][a : a + 256]
-                    for i, fast in zip(some, qu[some] @ unit[rows].T):
-                        found, score = _hits(ids[rows], mat[rows], unit[rows], qid[i], qv[i], fast, k)
-                        got.append((np.full(len(found), qid[i]), found, score, np.full(len(found), f, np.int32)))
-        if not got:
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0), "leaf": np.zeros(0, np.int32)})
-        out = pd.DataFrame(dict(zip(("query_id", "vec_id", "score", "leaf"), map(np.concatenate, zip(*got)))))
-        return out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(k)
+            qid, qv, ids, mat = q["vec_id"].to_numpy(), _matrix(q["v"]), x["vec_id"].to_numpy(), _matrix(x["v"])
+            qu, unit = _unit(qv), _unit(mat)
+            leaf = x["leaf"].to_numpy().astype(np.int32)
+            visited = np.zeros((len(q), GROUP_LEAVES), bool)
+            visited[np.repeat(np.arange(len(q)), q["leaves"].map(len)), np.concatenate(q["leaves"].to_list()) % GROUP_LEAVES] = True
+            step = max(1, SCORES // len(x))
+            for a in range(0, len(q), step):
+                some = slice(a, a + step)
+                fast = qu[some] @ unit.T
+                fast[~visited[some][:, leaf % GROUP_LEAVES] | (qid[some, None] == ids)] = -np.inf
+                # fast scores are good to 1e-9: all within that of the k-th are scored exactly
+                least = np.partition(fast, len(x) - k, axis=1)[:, len(x) - k] if len(x) > k else np.full(len(fast), -np.inf)
+                at, row = np.nonzero((fast >= least[:, None] - 1e-9) & (fast > -np.inf))
+                score = np.concatenate([np.zeros(0), *[_score(qv[a + at[s : s + PAIRS]], mat[row[s : s + PAIRS]]) for s in range(0, len(at), PAIRS)]])
+                order = np.lexsort((ids[row], -score, at))
+                at, row, score = at[order], row[order], score[order]
+                best = np.arange(len(at)) - np.searchsorted(at, at) < k
+                got.append((qid[a + at[best]], ids[row[best]], score[best], leaf[row[best]]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", "leaf"), map(np.concatenate, zip(*got)))))
 
     return pairs.groupBy("grp", "block").applyInPandas(run, OUT)
 
