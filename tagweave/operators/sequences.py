@@ -45,3 +45,78 @@ def replace_tags(tag: Column, names: dict[str, str | None]) -> Column:
     gone = [k for k, v in names.items() if v is None]
     new = F.coalesce(*[F.when(tag_value(tag) == k, F.lit(names[k])) for k in known], tag_value(tag)) if known else tag_value(tag)
     return F.when(tag_value(tag).isin(gone), F.lit(None)).otherwise(F.concat(tag_prefix(tag), new))
+
+
+def expand_back(df: DataFrame, key: str, position: str, tag: str, enabled: list[str], to: str) -> DataFrame:
+    """Untagged rows before a row of an enabled value join it: b- on their first, i- on the others and on that row."""
+    order = W.partitionBy(key).orderBy(position)
+    out = fill_backward(df, key, position, F.col(tag), "__next")
+    untagged = F.col(tag).isNull()
+    starts = untagged & ~F.coalesce(F.lag(untagged).over(order), F.lit(False))
+    filled = F.when(tag_value(F.col("__next")).isin(enabled), F.concat(F.when(starts, "b-").otherwise("i-"), tag_value(F.col("__next"))))
+    after = ~untagged & F.coalesce(F.lag(untagged).over(order), F.lit(False)) & tag_value(F.col(tag)).isin(enabled)
+    return out.withColumn(to, F.when(untagged, filled).when(after, F.concat(F.lit("i-"), tag_value(F.col(tag)))).otherwise(F.col(tag))).drop("__next")
+
+
+def expand_on(df: DataFrame, key: str, position: str, tag: str, enabled: list[str], to: str) -> DataFrame:
+    """Untagged rows after a row of an enabled value join it with i-."""
+    out = fill_forward(df, key, position, F.col(tag), "__last")
+    return out.withColumn(to, F.coalesce(tag, F.when(tag_value(F.col("__last")).isin(enabled), F.concat(F.lit("i-"), tag_value(F.col("__last")))))).drop("__last")
+
+
+def merge_groups(df: DataFrame, key: str, position: str, tag: str, groups: dict[str, str], to: str) -> DataFrame:
+    """Tags with a group become it (i- where the group goes on), and untagged rows between two tags of one group join it."""
+    name = F.coalesce(*[F.when(tag_value(F.col(tag)) == k, F.lit(v)) for k, v in groups.items()], tag_value(F.col(tag)))
+    known = F.when(F.col(tag).isNotNull(), name)
+    out = fill_backward(fill_forward(df, key, position, known, "__a"), key, position, known, "__b")
+    inner = F.when(F.col("__a").eqNullSafe(F.col("__b")) & F.col("__a").isin(*groups.values()), F.col("__a"))
+    out = runs(out.withColumn("__g", F.coalesce(known, inner)), key, position, "__g", "__run")
+    first = F.row_number().over(W.partitionBy(key, "__run").orderBy(position)) == 1
+    new = F.when(F.col("__g").isin(*groups.values()), F.concat(F.when(first, "b-").otherwise("i-"), F.col("__g"))).otherwise(F.col(tag))
+    return out.withColumn(to, new).drop("__a", "__b", "__g", "__run")
+
+
+def offsets(df: DataFrame, key: str, position: str, text: str, between: int = 0) -> DataFrame:
+    """start and end of each row's text in the joined text, `between` characters apart."""
+    before = F.sum(F.length(text) + between).over(W.partitionBy(key).orderBy(position).rowsBetween(W.unboundedPreceding, -1))
+    out = df.withColumn("start", F.coalesce(before, F.lit(0)).cast("long"))
+    return out.withColumn("end", F.col("start") + F.length(text))
+
+
+def gaps(df: DataFrame, key: str, start: str, end: str, to: str) -> DataFrame:
+    """key, start, end of what lies between a key's ranges within [0, to); ranges may overlap or repeat."""
+    order = W.partitionBy(key).orderBy(start, end)
+    reach = F.coalesce(F.max(end).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    inner = df.select(key, reach.cast("long").alias("start"), F.least(start, to).cast("long").alias("end"))
+    tail = df.groupBy(key).agg(F.max(end).cast("long").alias("start"), F.max(to).cast("long").alias("end"))
+    return inner.unionByName(tail).filter("start < end")
+
+
+def trailing_space(df: DataFrame, key: str, position: str, token: str, to: str) -> DataFrame:
+    """The blank that follows each token of a key: the next token if that is blank, else nothing; null for the last."""
+    following = F.lead(token).over(W.partitionBy(key).orderBy(position))
+    return df.withColumn(to, F.when(following.isNull(), None).when(F.trim(F.translate(following, "\t\n\r", "   ")) == "", following).otherwise(""))
+
+
+def drop_untagged(df: DataFrame, key: str, position: str, tag: str, blank: Column) -> DataFrame:
+    """Tagged tokens, and blanks that follow one; position orders tokens within the key."""
+    last = F.last(F.when(~blank, F.col(tag).isNotNull()), ignorenulls=True).over(W.partitionBy(key).orderBy(position).rowsBetween(W.unboundedPreceding, 0))
+    return df.withColumn("__keep", F.coalesce(last, F.lit(False)) | (F.col(tag).isNotNull())).filter("__keep").drop("__keep")
+
+
+def clear_replaced(df: DataFrame, line: list[str], tag: str, preserved: str) -> DataFrame:
+    """Preserved values of a line are cleared where any of their tokens has got a tag of another value."""
+    changed = F.max(F.when(F.col(tag).isNotNull() & (tag_value(F.col(tag)) != tag_value(F.col(preserved))), 1).otherwise(0)).over(W.partitionBy(*line, tag_value(F.col(preserved))))
+    return df.withColumn(preserved, F.when(changed == 1, None).otherwise(F.col(preserved)))
+
+
+def entities(df: DataFrame, key: str, position: str, tag: str, token: str, after: str) -> DataFrame:
+    """key, name, first position and text of each tagged run; a run ends where the value changes or b- stands."""
+    order = W.partitionBy(key).orderBy(position)
+    value = F.when(F.col(tag).isNotNull(), tag_value(F.col(tag)))
+    start = F.when(~F.lag(value).over(order).eqNullSafe(value) | (tag_prefix(F.col(tag)) == "b-") | (F.row_number().over(order) == 1), 1).otherwise(0)
+    numbered = df.withColumn("__start", start).withColumn("__run", F.sum("__start").over(order.rowsBetween(W.unboundedPreceding, 0))).filter(F.col(tag).isNotNull())
+    last = F.lead("__run").over(W.partitionBy(key, "__run").orderBy(position)).isNull()
+    piece = F.struct(F.col(position).alias("p"), F.concat(F.col(token), F.when(last, "").otherwise(F.coalesce(after, F.lit(" ")))).alias("t"))
+    rows = numbered.withColumn("__piece", piece).groupBy(key, "__run").agg(F.first(tag_value(F.col(tag))).alias("name"), F.min(position).alias("first"), F.array_sort(F.collect_list("__piece")).alias("l"))
+    return rows.select(key, "name", "first", F.array_join("l.t", "").alias("text"))
