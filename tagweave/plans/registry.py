@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.plans import catalog, passages
+from tagweave.plans import annotation, catalog, passages
 
-_MODULES = (passages, catalog)
+_MODULES = (passages, catalog, annotation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
