@@ -118,7 +118,9 @@ def fuzzy_spans(docs: DataFrame, targets: DataFrame, key: str, text: str = "text
         return out.astype({"ordinal": "int32", "part": "int32", "start": "int64", "end": "int64"})
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).groupBy(key).cogroup(targets.select(key, "field", "ordinal", "values").groupBy(key)).applyInPandas(run, f"{key} {kind}, {SPANS}")
+    # renamed anew, as both sides may come from one frame
+    left, right = docs.select(key, text).toDF(key, text), targets.select(key, "field", "ordinal", "values").toDF(key, "field", "ordinal", "values")
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(run, f"{key} {kind}, {SPANS}")
 
 
 def all_spans(docs: DataFrame, values: list[str], key: str, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tagweave.operators import matching as M
+from tagweave.plans import annotation
 
 
 def test_matcher():
@@ -38,3 +39,14 @@ def test_required(spark):
     t = spark.createDataFrame([(1, "title", "abcde"), (2, "title", "abcde"), (3, "title", "abcde"), (4, "title", "")], "id int, field string, text string")
     f = spark.createDataFrame([(1, "title", "abcdf"), (2, "title", "xyz")], t.schema)
     assert {r["id"]: r["passed"] for r in M.required_fields(t, f, "id", ["title"], ["title"]).collect()} == {1: True, 2: False, 3: False, 4: True}
+
+
+def test_fuzzy_passages(spark, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog while eleven grey wolves are watching from the hill"
+    docs = [(1, f"before it {item} and after"), (2, f"x {item.replace('wolves', 'wolwes')} y"), (3, "the quick brown fox only"), (4, None), (5, item.split()[0])]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, item), (8, "another text that no document holds at all here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(map(tuple, annotation.fuzzy_passages(spark, str(tmp_path)).collect()))
+    # brute force: every pair
+    want = [(d, f"item{i}", *s) for d, t in docs for i, x in ((7, item),) if t and (s := M.find(t, x))]
+    assert got == want == [(1, "item7", 10, 10 + len(item)), (2, "item7", 2, 2 + len(item))]
