@@ -93,19 +93,19 @@ def prefix_bits(n: int, half: int) -> int:
     return 60
 
 
-def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray], v: list[np.ndarray]) -> None:
-    """Append star links between fingerprints that share a variant under the prefix `key`."""
+def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray], v: list[np.ndarray], floor: int = 0, chain: bool = False) -> None:
+    """Append star links between fingerprints (bits from `floor` up) that share a variant under the prefix `key`; with `chain`, links between neighbours too."""
     if len(fps) < 2:
         return
     shift = np.uint64(64 - prefix)
     off = np.bitwise_count((fps >> shift) ^ np.uint64(key))
-    low = list(range(64 - prefix))
+    low = list(range(floor, 64 - prefix))
     per = [len(_masks(low, half - d)) if d <= half else 0 for d in range(half + 1)]
     total = sum(int((off == d).sum()) * per[d] for d in range(half + 1))
-    if total > BLOCK_VARIANTS and prefix <= 60:
+    if total > BLOCK_VARIANTS and prefix <= 60 - floor:
         for sub in range(16):
             near = np.bitwise_count((fps >> np.uint64(60 - prefix)) ^ np.uint64((key << 4) | sub)) <= half
-            _links(fps[near], prefix + 4, (key << 4) | sub, half, u, v)
+            _links(fps[near], prefix + 4, (key << 4) | sub, half, u, v, floor, chain)
         return
     under = (np.uint64(key) << shift) | (fps & ((np.uint64(1) << shift) - np.uint64(1)))
     values, owners = [], []
@@ -126,26 +126,39 @@ def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray
     group, member = at[hit], fps[owner[hit]].view(np.int64)
     first = np.full(len(twice), np.iinfo(np.int64).max)
     np.minimum.at(first, group, member)
-    pairs = np.unique(np.stack([first[group], member], 1), axis=0)
+    pairs = np.stack([first[group], member], 1)
+    if chain:
+        order = np.lexsort((member, group))
+        group, member = group[order], member[order]
+        next_ = group[1:] == group[:-1]
+        pairs = np.concatenate([pairs, np.stack([member[:-1][next_], member[1:][next_]], 1)])
+    pairs = np.unique(pairs, axis=0)
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
     u.append(pairs[:, 0])
     v.append(pairs[:, 1])
 
 
-def links(distinct: DataFrame, radius: int, n: int) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints `fp` whose components are those of all pairs within `radius` bits."""
+def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints `fp` (of 64 bits) whose components are those of all pairs within `radius` bits.
+
+    Fingerprints of fewer bits hold them at the top, and the number of their
+    table in the bits below (which never differ within a link): `tab`; their
+    edges also join neighbours that share a variant, for a check of each.
+    """
     half = radius // 2
+    wide = bits == 64
     p = prefix_bits(n, half)
     masks = [int(m) for m in _masks(list(range(p)), half)]
     top = F.shiftrightunsigned(F.col("fp"), 64 - p)
-    keyed = distinct.select("fp", F.explode(F.array(*[top.bitwiseXOR(F.lit(m)) for m in masks])).alias("key"))
+    table_no = F.lit(0).cast("long") if wide else F.col("tab").cast("long")
+    keyed = distinct.select("fp", F.explode(F.array(*[top.bitwiseXOR(F.lit(m)).bitwiseOR(F.shiftleft(table_no, p)) for m in masks])).alias("key"))
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * len(masks) // (4 * ROWS_A_PREFIX)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(key: int, held: list[np.ndarray]) -> pa.RecordBatch | None:
             u: list[np.ndarray] = []
             v: list[np.ndarray] = []
-            _links(np.concatenate(held), p, key, half, u, v)
+            _links(np.concatenate(held), p, key & ((1 << p) - 1), half, u, v, 0 if wide else 64 - bits, not wide)
             if not u:
                 return None
             pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)], 1), axis=0)
@@ -187,13 +200,112 @@ def op7(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = 4, words: int = 5) -> DataFrame:
+#: Bits of a short fingerprint and how many of them a document has, by the count of rows: random pairs stay as
+#: few as rows, and a pair of similarity 0.8 (15 % of bits differ) is within RADIUS bits in one of them in 98 % of cases or more.
+SHORT = ((1 << 22, 32, 8), (1 << 62, 48, 24))
+RADIUS = 4
+#: Shingle hashes (the least) that a check of similarity holds; texts of fewer shingles are compared exactly.
+SKETCH = 4096
+#: Ids (8 bytes each) that may be broadcast to choose texts.
+BROADCAST_IDS = 1_000_000
+
+
+def _shingles(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of every shingle of a text."""
+    from xxhash import xxh64_intdigest
+
+    parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    return np.array([xxh64_intdigest(b" ".join(parts[i : i + words]), 42) for i in range(max(1, len(parts) - words + 1))], np.uint64)
+
+
+def _wide(text: str | None, words: int, bits: int) -> bytes:
+    """A fingerprint of many bits: majorities over the shingles' hashes, each mixed into as many words as it takes."""
+    h = _shingles(text, words)
+    out = []
+    for k in range(bits // 64):
+        g = h + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
+        g = (g ^ (g >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        g = (g ^ (g >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        g ^= g >> np.uint64(31)
+        counts = np.zeros(64, np.int64)
+        for a in range(0, len(g), 8192):
+            counts += np.unpackbits(g[a : a + 8192].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        out.append(np.packbits(2 * counts > len(h)).tobytes())
+    return b"".join(out)
+
+
+def _similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sketches; exact unless one is full."""
+    both = np.union1d(a, b)
+    if max(len(a), len(b)) >= SKETCH:
+        both = both[:SKETCH]
+    if not len(both):
+        return 1.0
+    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).mean())
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id reachable) over pairs of texts whose shingles' Jaccard similarity is at least this.
+
+    Candidates are pairs within RADIUS bits in one of several short
+    fingerprints, by ball hashing in each; every one is checked.  Null doc_ids
+    take no part; texts without words are alike.
+    """
+    docs = docs.filter("doc_id is not null").select("doc_id", "text")
+    n = docs.count()
+    bits, tables = next((b, t) for most, b, t in SHORT if n <= most)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    size = bits // 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 21):
+            key = [_wide(t, words, bits * tables) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(key, pa.binary())], names=["doc_id", "key"])
+
+    wide, _ = table(docs.mapInArrow(run, f"doc_id {kind}, key binary"), "wide")
+    small, _ = table(wide.groupBy("key").agg(F.min("doc_id").alias("id")), "representatives")
+    value = lambda t: F.shiftleft(F.conv(F.hex(F.substring("key", t * size + 1, size)), 16, 10).cast("long"), 64 - bits).bitwiseOR(F.lit(t))
+    parts = small.select("id", F.explode(F.array(*[value(t) for t in range(tables)])).alias("fp"))
+    # texts that share a short fingerprint are checked against the first of them
+    members, _ = table(parts, "members")
+    firsts, _ = table(members.groupBy("fp").agg(F.min("id").alias("first")), "firsts")
+    same = members.join(firsts, "fp").filter("id <> first").select(F.col("first").alias("u"), F.col("id").alias("v"))
+    tabbed = firsts.select("fp", F.col("fp").bitwiseAND(F.lit((1 << (64 - bits)) - 1)).alias("tab"))
+    near = links(tabbed, RADIUS, firsts.count() // tables, bits)
+    at = lambda c: firsts.select(F.col("fp").alias(f"{c}_fp"), F.col("first").alias(c))
+    near = near.toDF("u_fp", "v_fp").join(at("u"), "u_fp").join(at("v"), "v_fp").select("u", "v")
+    pairs, _ = table(same.unionByName(near).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+    ids, _ = table(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "asked")
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 21):
+            some = [np.unique(_shingles(t, words))[:SKETCH].tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(some, pa.binary())], names=["doc_id", "sketch"])
+
+    asked = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    sketches, _ = table(asked.mapInArrow(sketch, f"doc_id {kind}, sketch binary"), "sketches")
+    side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"{c}_sketch"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [_similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select(["u", "v"]).filter(pa.array(got, pa.bool_()))
+
+    edges = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_sketch", "v_sketch").mapInArrow(check, f"u {kind}, v {kind}")
+    roots = components(edges)
+    found = wide.join(small, "key").select("doc_id", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    return found.select("doc_id", F.coalesce("root", "id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each group of near copies stays, whole and with all columns: the one of the smallest doc_id.
 
     Rows with a null doc_id stay.  Rows that repeat a doc_id are one document; one of them stays.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), radius, words)
-    away, _ = table(found.filter("doc_id is not null and doc_id <> component_id").select("doc_id").distinct(), "away")
+    found = similar_groups(docs, words, similarity)
+    away, _ = table(found.filter("doc_id <> component_id").select("doc_id").distinct(), "away")
     kept = docs.join(away, "doc_id", "left_anti").select(*docs.columns)
     none = kept.filter("doc_id is null")
     return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(none)
