@@ -221,8 +221,8 @@ def _shingles(text: str | None, words: int) -> np.ndarray:
 
 
 def _wide(text: str | None, words: int, bits: int) -> bytes:
-    """A fingerprint of many bits: majorities over the shingles' hashes, each mixed into as many words as it takes."""
-    h = _shingles(text, words)
+    """A fingerprint of many bits: majorities over the distinct shingles' hashes, each mixed into as many words as it takes."""
+    h = np.unique(_shingles(text, words))
     out = []
     for k in range(bits // 64):
         g = h + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
@@ -250,8 +250,10 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     """doc_id and component_id (the smallest doc_id reachable) over pairs of texts whose shingles' Jaccard similarity is at least this.
 
     Candidates are pairs within RADIUS bits in one of several short
-    fingerprints, by ball hashing in each; every one is checked.  Null doc_ids
-    take no part; texts without words are alike.
+    fingerprints, by ball hashing in each; every one is checked, by all bits
+    together (up to six deviations beyond what this similarity makes differ)
+    and then by its shingles.  Null doc_ids take no part; texts without words
+    are alike.
     """
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
     n = docs.count()
@@ -276,7 +278,19 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     near = links(tabbed, RADIUS, firsts.count() // tables, bits)
     at = lambda c: firsts.select(F.col("fp").alias(f"{c}_fp"), F.col("first").alias(c))
     near = near.toDF("u_fp", "v_fp").join(at("u"), "u_fp").join(at("v"), "v_fp").select("u", "v")
-    pairs, _ = table(same.unionByName(near).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+    drawn, _ = table(same.unionByName(near).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "drawn")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
+            yield batch.select(["u", "v"]).filter(pa.array(np.bitwise_count(a ^ b).sum(1) <= most))
+
+    # of the pairs that chance brings together, all bits leave next to none
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    most = bits * tables * share + 6 * np.sqrt(bits * tables * share * (1 - share))
+    key = lambda c: small.select(F.col("id").alias(c), F.col("key").alias(f"{c}_key"))
+    both = drawn.join(key("u"), "u").join(key("v"), "v").select("u", "v", "u_key", "v_key")
+    pairs, _ = table(both.mapInArrow(alike, f"u {kind}, v {kind}"), "pairs")
     ids, _ = table(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "asked")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
