@@ -122,7 +122,9 @@ def _sample(train: DataFrame, langs: dict[str, int]) -> list[tuple[str, list[lis
     share = max(20, SAMPLE_ROWS // max(1, len(langs)))
     rate = F.create_map(*[F.lit(x) for k, n in langs.items() for x in (k, min(1.0, share / n))])
     u = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    picked = train.filter(u < F.element_at(rate, F.col("lang"))).select("lang", "text").limit(2 * SAMPLE_ROWS + 40 * len(langs))
+    # examples are learnt from in this order, whichever way rows arrive
+    order = [F.xxhash64("doc_id", F.lit("order")), F.xxhash64("text"), F.col("lang")]
+    picked = train.filter(u < F.element_at(rate, F.col("lang"))).orderBy(*order).select("lang", "text").limit(2 * SAMPLE_ROWS + 40 * len(langs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
@@ -215,7 +217,7 @@ def fit(train: DataFrame) -> Model:
     df, n = document_frequency(train)
     idf = np.log((1 + n) / (1 + df)) + 1
     examples, held = [], []
-    for i, (lang, cuts) in enumerate(sorted(_sample(train, langs), key=lambda x: (x[0], len(x[1][0][0]) if x[1] else 0))):
+    for i, (lang, cuts) in enumerate(sorted(_sample(train, langs), key=lambda x: x[0])):
         for col, count in cuts:
             v = _weigh(np.zeros(len(col), np.int64), col, count, idf, 1)
             (held if i % 5 == 4 else examples).append((col, v, names.index(lang)))
