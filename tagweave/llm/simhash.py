@@ -142,18 +142,26 @@ def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame
     """Edges (u, v) between distinct fingerprints `fp` (of 64 bits) whose components are those of all pairs within `radius` bits.
 
     Fingerprints of fewer bits hold them at the top, and the number of their
-    table in the bits below (which never differ within a link): `tab`; their
+    table in the lowest TABLE_BITS (which never differ within a link); their
     edges also join neighbours that share a variant, for a check of each.
     """
     half = radius // 2
     wide = bits == 64
     p = prefix_bits(n, half)
     masks = [int(m) for m in _masks(list(range(p)), half)]
-    top = F.shiftrightunsigned(F.col("fp"), 64 - p)
-    table_no = F.lit(0).cast("long") if wide else F.col("tab").cast("long")
-    keyed = distinct.select("fp", F.explode(F.array(*[top.bitwiseXOR(F.lit(m)).bitwiseOR(F.shiftleft(table_no, p)) for m in masks])).alias("key"))
+    # beside a short fingerprint and its table's number there is room for the number of the mask: one long is shuffled, not two
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1)))
+    packed = distinct.select("fp", numbers.alias("m")) if wide else distinct.select("fp", numbers.alias("m")).select(F.col("fp").bitwiseOR(F.shiftleft(F.col("m").cast("long"), TABLE_BITS)).alias("fp"))
+    number = F.col("m") if wide else F.shiftright("fp", TABLE_BITS).bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")
+    key = F.shiftrightunsigned("fp", 64 - p).bitwiseXOR(F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), number + 1))
+    if not wide:
+        key = key.bitwiseOR(F.shiftleft(F.col("fp").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)), p))
+    keyed = packed.select("fp", key.alias("key")) if wide else packed
+    by = F.col("key") if wide else key
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * len(masks) // (4 * ROWS_A_PREFIX)))
 
+    flips = np.array(masks, np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(key: int, held: list[np.ndarray]) -> pa.RecordBatch | None:
             u: list[np.ndarray] = []
@@ -166,8 +174,13 @@ def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame
 
         key, held = None, []
         for batch in batches:
-            keys = batch.column("key").to_numpy()
             fps = batch.column("fp").to_numpy().view(np.uint64)
+            if wide:
+                keys = batch.column("key").to_numpy()
+            else:
+                m, tab = (fps >> np.uint64(TABLE_BITS)) & np.uint64((1 << MASK_BITS) - 1), fps & np.uint64((1 << TABLE_BITS) - 1)
+                keys = (((fps >> np.uint64(64 - p)) ^ flips[m]) | (tab << np.uint64(p))).view(np.int64)
+                fps = fps ^ (m << np.uint64(TABLE_BITS))
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
                 if b > a:
@@ -180,7 +193,7 @@ def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame
         if held and (out := flush(key, held)):
             yield out
 
-    return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
+    return keyed.repartition(parts, by).sortWithinPartitions(by).mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
@@ -202,8 +215,10 @@ def op7(docs: DataFrame) -> DataFrame:
 
 #: Bits of a short fingerprint and how many of them a document has, by the count of rows: random pairs stay as
 #: few as rows, and a pair of similarity 0.8 (15 % of bits differ) is within RADIUS bits in one of them in 98 % of cases or more.
-SHORT = ((1 << 22, 32, 8), (1 << 62, 48, 24))
-RADIUS = 4
+SHORT = ((1 << 20, 28, 22), (1 << 25, 32, 34), (1 << 62, 44, 140))
+RADIUS = 2
+#: Low bits of a short fingerprint's long that hold the number of its table, and those above them for that of a mask.
+TABLE_BITS, MASK_BITS = 8, 6
 #: Shingle hashes (the least) that a check of similarity holds; texts of fewer shingles are compared exactly.
 SKETCH = 4096
 #: Ids (8 bytes each) that may be broadcast to choose texts.
@@ -259,23 +274,22 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     n = docs.count()
     bits, tables = next((b, t) for most, b, t in SHORT if n <= most)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    size = bits // 8
+    total = -(-bits * tables // 64) * 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 21):
-            key = [_wide(t, words, bits * tables) for t in batch.column("text").to_pylist()]
+            key = [_wide(t, words, total) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(key, pa.binary())], names=["doc_id", "key"])
 
     wide, _ = table(docs.mapInArrow(run, f"doc_id {kind}, key binary"), "wide")
     small, _ = table(wide.groupBy("key").agg(F.min("doc_id").alias("id")), "representatives")
-    value = lambda t: F.shiftleft(F.conv(F.hex(F.substring("key", t * size + 1, size)), 16, 10).cast("long"), 64 - bits).bitwiseOR(F.lit(t))
-    parts = small.select("id", F.explode(F.array(*[value(t) for t in range(tables)])).alias("fp"))
+    value = lambda t: F.shiftleft(F.conv(F.substring("digits", t * bits // 4 + 1, bits // 4), 16, 10).cast("long"), 64 - bits).bitwiseOR(F.lit(t))
+    parts = small.select("id", F.hex("key").alias("digits")).select("id", F.explode(F.array(*[value(t) for t in range(tables)])).alias("fp"))
     # texts that share a short fingerprint are checked against the first of them
     members, _ = table(parts, "members")
     firsts, _ = table(members.groupBy("fp").agg(F.min("id").alias("first")), "firsts")
     same = members.join(firsts, "fp").filter("id <> first").select(F.col("first").alias("u"), F.col("id").alias("v"))
-    tabbed = firsts.select("fp", F.col("fp").bitwiseAND(F.lit((1 << (64 - bits)) - 1)).alias("tab"))
-    near = links(tabbed, RADIUS, firsts.count() // tables, bits)
+    near = links(firsts.select("fp"), RADIUS, firsts.count() // tables, bits)
     at = lambda c: firsts.select(F.col("fp").alias(f"{c}_fp"), F.col("first").alias(c))
     near = near.toDF("u_fp", "v_fp").join(at("u"), "u_fp").join(at("v"), "v_fp").select("u", "v")
     drawn, _ = table(same.unionByName(near).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "drawn")
@@ -287,7 +301,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
     # of the pairs that chance brings together, all bits leave next to none
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most = bits * tables * share + 6 * np.sqrt(bits * tables * share * (1 - share))
+    most = total * share + 6 * np.sqrt(total * share * (1 - share))
     key = lambda c: small.select(F.col("id").alias(c), F.col("key").alias(f"{c}_key"))
     both = drawn.join(key("u"), "u").join(key("v"), "v").select("u", "v", "u_key", "v_key")
     pairs, _ = table(both.mapInArrow(alike, f"u {kind}, v {kind}"), "pairs")
