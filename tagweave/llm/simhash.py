@@ -232,23 +232,31 @@ def _shingles(text: str | None, words: int) -> np.ndarray:
     parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not parts:
         return np.zeros(0, np.uint64)
-    return np.array([xxh64_intdigest(b" ".join(parts[i : i + words]), 42) for i in range(max(1, len(parts) - words + 1))], np.uint64)
+    joined = b" ".join(parts)
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    ends = np.cumsum(size + 1) - 1
+    n = max(1, len(parts) - words + 1)
+    starts, stops = (ends - size)[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
+    return np.array([xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts, stops)], np.uint64)
 
 
 def _wide(text: str | None, words: int, bits: int) -> bytes:
     """A fingerprint of many bits: majorities over the distinct shingles' hashes, each mixed into as many words as it takes."""
     h = np.unique(_shingles(text, words))
-    out = []
-    for k in range(bits // 64):
-        g = h + np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & (2**64 - 1))
+    salt = (np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    lanes = np.uint64(0x0101010101010101)
+    counts = np.zeros((len(salt), 8, 8), np.int64)
+    for a in range(0, len(h), 8160):
+        g = h[a : a + 8160] + salt
         g = (g ^ (g >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         g = (g ^ (g >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         g ^= g >> np.uint64(31)
-        counts = np.zeros(64, np.int64)
-        for a in range(0, len(g), 8192):
-            counts += np.unpackbits(g[a : a + 8192].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        out.append(np.packbits(2 * counts > len(h)).tobytes())
-    return b"".join(out)
+        # eight bits of a word are counted at once, a byte for each, over 255 hashes at most
+        cuts = np.arange(0, g.shape[1], 255)
+        for k in range(8):
+            part = np.add.reduceat((g >> np.uint64(k)) & lanes, cuts, axis=1)
+            counts[:, :, k] += part.view(np.uint8).reshape(len(salt), -1, 8).sum(1, dtype=np.int64)
+    return np.packbits(2 * counts.reshape(-1) > len(h), bitorder="little").tobytes()
 
 
 def _similarity(a: np.ndarray, b: np.ndarray) -> float:
