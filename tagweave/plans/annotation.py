@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions import ident, mapping
 from tagweave.operators import matching as M
+from tagweave.operators import preserving as P
 from tagweave.operators import references as O
 from tagweave.operators import segments as G
 from tagweave.operators import sequences as S
@@ -115,6 +116,13 @@ def tags_merged(spark, sf_dir):
     return S.merge_groups(_events(spark, sf_dir), "user_id", "event_id", "tag", {"purchase": "deal", "click": "deal"}, "new").select("event_id", F.coalesce("new", F.lit("")).alias("new"))
 
 
+def tags_preserved(spark, sf_dir):
+    """Event types as tags that an event came with: clicks are to be annotated anew, purchases are put back."""
+    events = _read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("b-x/"), "event_type").alias("tag"))
+    kept = P.prepare(P.set_aside(events, {"buy": "x/purchase", "press": "x/click"}), {"press"}, keep=True)
+    return P.put_back(kept, {"buy"}).select("event_id", F.coalesce("tag", F.lit("")).alias("tag"), F.coalesce("preserved_tag", F.lit("")).alias("preserved_tag"))
+
+
 def role_entities(spark, sf_dir):
     """The text of each run of turns by one role."""
     turns = S.begin_inside(S.runs(_read(spark, sf_dir, "conversations"), "conv_id", "turn", "role"), ["conv_id", "run"], "turn", "role").withColumn("after", F.lit(" "))
@@ -210,7 +218,7 @@ def required_fields(spark, sf_dir):
     return M.required_fields(first.filter("role = 'user'").select("conv_id", F.lit("first").alias("field"), "text"), first.filter("role = 'assistant'").select("conv_id", F.lit("first").alias("field"), "text"), "conv_id", ["first"], ["first"])
 
 
-QUERIES = {f.__name__: f for f in (passage_tags, match_report, fuzzy_passages, header_lines, merged_sections, segmented_lines, late_front, page_numbers, line_numbers, tags_expanded_back, tags_expanded_on, tags_merged, role_entities, range_gaps, url_targets, output_names, page_nodes, page_paths, path_steps, markup_repaired, markup_written, reference_tags, line_tags, references_fixed, identifier_kinds, list_specs, required_fields)}
+QUERIES = {f.__name__: f for f in (passage_tags, match_report, fuzzy_passages, header_lines, merged_sections, segmented_lines, late_front, page_numbers, line_numbers, tags_expanded_back, tags_expanded_on, tags_merged, tags_preserved, role_entities, range_gaps, url_targets, output_names, page_nodes, page_paths, path_steps, markup_repaired, markup_written, reference_tags, line_tags, references_fixed, identifier_kinds, list_specs, required_fields)}
 
 _SPANS = "(SELECT doc_id, item_id, CAST(strpos(d.text, b.text) - 1 AS BIGINT) AS s, CAST(strpos(d.text, b.text) - 1 + length(b.text) AS BIGINT) AS e, b.text AS item FROM documents d JOIN benchmark b ON length(b.text) > 0 AND contains(d.text, b.text))"
 _LINES = "(SELECT doc_id, line_no, text, CASE WHEN line_no = 0 THEN 'front' WHEN contains(text, '@') THEN 'reference' WHEN text = '' THEN 'annex' END AS section FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents))"
@@ -236,6 +244,7 @@ SELECT doc_id, CAST(coalesce(sum(n) FILTER (ok AND n >= greatest(2, top - 1)), 0
 (SELECT *, lag(v) OVER ({_BY}) IS NULL AS pn, row_number() OVER ({_BY}) = 1 AS is_first, first_value(v IGNORE NULLS) OVER ({_BY} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nxt FROM {_EVENTS})""",
     "tags_expanded_on": f"SELECT event_id, coalesce(tag, CASE WHEN last_value(v IGNORE NULLS) OVER ({_BY} ROWS UNBOUNDED PRECEDING) = 'purchase' THEN 'i-purchase' END, '') AS new FROM {_EVENTS}",
     "tags_merged": f"SELECT event_id, CASE WHEN NOT inside THEN '' WHEN event_id = f THEN 'b-deal' ELSE 'i-deal' END AS new FROM (SELECT event_id, coalesce(event_id BETWEEN f AND l, false) AS inside, f FROM (SELECT *, min(event_id) FILTER (v IS NOT NULL) OVER (PARTITION BY user_id) AS f, max(event_id) FILTER (v IS NOT NULL) OVER (PARTITION BY user_id) AS l FROM {_EVENTS}))",
+    "tags_preserved": "SELECT event_id, CASE event_type WHEN 'purchase' THEN 'b-buy' ELSE '' END AS tag, CASE event_type WHEN 'purchase' THEN 'b-buy' WHEN 'click' THEN '' ELSE coalesce('b-x/' || event_type, '') END AS preserved_tag FROM events",
     "role_entities": f"SELECT conv_id, role AS name, CAST(min(turn) AS BIGINT) AS first, string_agg(text, ' ' ORDER BY turn) AS text FROM {_TURNS} GROUP BY conv_id, run, role",
     "range_gaps": "WITH u AS (SELECT conv_id, turn AS s, turn + 1 AS e FROM conversations WHERE role = 'user'), n AS (SELECT conv_id, max(turn) + 1 AS n FROM conversations GROUP BY conv_id), g AS (SELECT conv_id, coalesce(lag(e) OVER (PARTITION BY conv_id ORDER BY s), 0) AS s, s AS e FROM u UNION ALL SELECT conv_id, max(e), any_value(n) FROM u JOIN n USING (conv_id) GROUP BY conv_id) SELECT conv_id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS \"end\" FROM g WHERE s < e",
     "url_targets": f"SELECT DISTINCT a.url AS path, b.url AS target_path, CAST(length(b.html) AS VARCHAR) AS target_text FROM pages a JOIN pages b ON regexp_replace({_BASE.replace('url', 'a.url')}, '[0-9]$', '7') = {_BASE.replace('url', 'b.url')}",
