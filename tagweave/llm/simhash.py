@@ -36,6 +36,8 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 BLOCK_VARIANTS = 4_000_000
 #: Fingerprint rows aimed at under one prefix.
 ROWS_A_PREFIX = 50_000
+#: Pairs that a task holds at once.
+BLOCK_PAIRS = 1_000_000
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -93,27 +95,30 @@ def prefix_bits(n: int, half: int) -> int:
     return 60
 
 
-def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray], v: list[np.ndarray], floor: int = 0, chain: bool = False) -> None:
-    """Append star links between fingerprints (bits from `floor` up) that share a variant under the prefix `key`; with `chain`, links between neighbours too."""
-    if len(fps) < 2:
+def _shared(fps: np.ndarray, prefix: int, key: int, half: int, floor: int = 0, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Group and row (of fps; bits from `floor` up) of each variant under the prefix `key` that several rows hold, in blocks of bounded size."""
+    rows = np.arange(len(fps)) if rows is None else rows
+    if len(rows) < 2:
         return
-    shift = np.uint64(64 - prefix)
-    off = np.bitwise_count((fps >> shift) ^ np.uint64(key))
+    shift, some = np.uint64(64 - prefix), fps[rows]
+    off = np.bitwise_count((some >> shift) ^ np.uint64(key))
     low = list(range(floor, 64 - prefix))
     per = [len(_masks(low, half - d)) if d <= half else 0 for d in range(half + 1)]
     total = sum(int((off == d).sum()) * per[d] for d in range(half + 1))
     if total > BLOCK_VARIANTS and prefix <= 60 - floor:
         for sub in range(16):
-            near = np.bitwise_count((fps >> np.uint64(60 - prefix)) ^ np.uint64((key << 4) | sub)) <= half
-            _links(fps[near], prefix + 4, (key << 4) | sub, half, u, v, floor, chain)
+            near = np.bitwise_count((some >> np.uint64(60 - prefix)) ^ np.uint64((key << 4) | sub)) <= half
+            yield from _shared(fps, prefix + 4, (key << 4) | sub, half, floor, rows[near])
         return
-    under = (np.uint64(key) << shift) | (fps & ((np.uint64(1) << shift) - np.uint64(1)))
+    under = (np.uint64(key) << shift) | (some & ((np.uint64(1) << shift) - np.uint64(1)))
     values, owners = [], []
     for d in range(half + 1):
-        rows = np.flatnonzero(off == d)
-        if len(rows):
-            values.append((under[rows, None] ^ _masks(low, half - d)).ravel())
-            owners.append(np.repeat(rows, per[d]))
+        at = np.flatnonzero(off == d)
+        if len(at):
+            values.append((under[at, None] ^ _masks(low, half - d)).ravel())
+            owners.append(np.repeat(rows[at], per[d]))
+    if not values:
+        return
     value = np.concatenate(values)
     owner = np.concatenate(owners)
     ordered = np.sort(value)
@@ -123,35 +128,80 @@ def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray
     at = np.searchsorted(twice, value)
     at[at == len(twice)] = 0
     hit = np.flatnonzero(twice[at] == value)
-    group, member = at[hit], fps[owner[hit]].view(np.int64)
-    first = np.full(len(twice), np.iinfo(np.int64).max)
-    np.minimum.at(first, group, member)
-    pairs = np.stack([first[group], member], 1)
-    if chain:
-        order = np.lexsort((member, group))
-        group, member = group[order], member[order]
-        next_ = group[1:] == group[:-1]
-        pairs = np.concatenate([pairs, np.stack([member[:-1][next_], member[1:][next_]], 1)])
-    pairs = np.unique(pairs, axis=0)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    u.append(pairs[:, 0])
-    v.append(pairs[:, 1])
-
-
-def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame:
+    yield at[hit], owner[hit]
+
+
+def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray], v: list[np.ndarray], floor: int = 0, chain: bool = False) -> None:
+    """Append star links between fingerprints (bits from `floor` up) that share a variant under the prefix `key`.
+
+    With `chain`, links between neighbours too, and a loop for each fingerprint
+    of a variant that more than three share, whose pairs these are not all.
+    """
+    for group, row in _shared(fps, prefix, key, half, floor):
+        member = fps[row].view(np.int64)
+        first = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(first, group, member)
+        pairs = np.stack([first[group], member], 1)
+        crowd = member[np.bincount(group)[group] > 3]
+        if chain:
+            order = np.lexsort((member, group))
+            group, member = group[order], member[order]
+            next_ = group[1:] == group[:-1]
+            pairs = np.concatenate([pairs, np.stack([member[:-1][next_], member[1:][next_]], 1)])
+        pairs = np.unique(pairs, axis=0)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        if chain and len(crowd):
+            crowd = np.unique(crowd)
+            pairs = np.concatenate([pairs, np.stack([crowd, crowd], 1)])
+        u.append(pairs[:, 0])
+        v.append(pairs[:, 1])
+
+
+def _all_pairs(group: np.ndarray, root: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every two rows of one group whose roots differ, about BLOCK_PAIRS at a time."""
+    order = np.lexsort((root[row], group))
+    group, row = group[order], row[order]
+    own = root[row]
+
+    def ends(new: np.ndarray) -> np.ndarray:
+        stops = np.append(np.flatnonzero(new) + 1, len(row))
+        return np.repeat(stops, np.diff(stops, prepend=0))
+
+    other = group[1:] != group[:-1]
+    start, stop = ends(other | (own[1:] != own[:-1])), ends(other)
+    count = stop - start
+    upto = np.cumsum(count)
+    a = 0
+    while a < len(row):
+        base = upto[a] - count[a]
+        b = max(a + 1, int(np.searchsorted(upto, base + BLOCK_PAIRS, side="right")))
+        n = count[a:b]
+        left = np.repeat(np.arange(a, b), n)
+        right = np.arange(len(left)) - np.repeat(upto[a:b] - n - base, n) + np.repeat(start[a:b], n)
+        if len(left):
+            found = np.unique(np.stack([row[left], row[right]], 1), axis=0)
+            yield found[:, 0], found[:, 1]
+        a = b
+
+
+def links(distinct: DataFrame, radius: int, n: int, bits: int = 64, apart: bool = False) -> DataFrame:
     """Edges (u, v) between distinct fingerprints `fp` (of 64 bits) whose components are those of all pairs within `radius` bits.
 
     Fingerprints of fewer bits hold them at the top, and the number of their
     table in the lowest TABLE_BITS (which never differ within a link); their
-    edges also join neighbours that share a variant, for a check of each.
+    edges also join neighbours that share a variant, for a check of each, and
+    loops mark those of a variant that more than three share.  With `apart`,
+    rows have an id and a root as well, and every two ids within `radius` bits
+    whose roots differ are given (more than once).
     """
+    more = ["id", "root"] if apart else []
     half = radius // 2
     wide = bits == 64
     p = prefix_bits(n, half)
     masks = [int(m) for m in _masks(list(range(p)), half)]
     # beside a short fingerprint and its table's number there is room for the number of the mask: one long is shuffled, not two
     numbers = F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1)))
-    packed = distinct.select("fp", numbers.alias("m")) if wide else distinct.select("fp", numbers.alias("m")).select(F.col("fp").bitwiseOR(F.shiftleft(F.col("m").cast("long"), TABLE_BITS)).alias("fp"))
+    packed = distinct.select("fp", numbers.alias("m")) if wide else distinct.select("fp", *more, numbers.alias("m")).select(F.col("fp").bitwiseOR(F.shiftleft(F.col("m").cast("long"), TABLE_BITS)).alias("fp"), *more)
     number = F.col("m") if wide else F.shiftright("fp", TABLE_BITS).bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")
     key = F.shiftrightunsigned("fp", 64 - p).bitwiseXOR(F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), number + 1))
     if not wide:
@@ -163,14 +213,23 @@ def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame
     flips = np.array(masks, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(key: int, held: list[np.ndarray]) -> pa.RecordBatch | None:
+        def flush(key: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            fps, *rest = zip(*held)
+            fps, at = np.concatenate(fps), (p, key & ((1 << p) - 1), half)
+            if apart:
+                ids, roots = (pa.concat_arrays(c) for c in rest)
+                roots = roots.dictionary_encode().indices.to_numpy()
+                if len(roots) and roots.max() > 0:
+                    for group, row in _shared(fps, *at, 64 - bits):
+                        for x, y in _all_pairs(group, roots, row):
+                            yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y))], names=["u", "v"])
+                return
             u: list[np.ndarray] = []
             v: list[np.ndarray] = []
-            _links(np.concatenate(held), p, key & ((1 << p) - 1), half, u, v, 0 if wide else 64 - bits, not wide)
-            if not u:
-                return None
-            pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)], 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+            _links(fps, *at, u, v, 0 if wide else 64 - bits, not wide)
+            if u:
+                pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
         key, held = None, []
         for batch in batches:
@@ -185,15 +244,15 @@ def links(distinct: DataFrame, radius: int, n: int, bits: int = 64) -> DataFrame
             for a, b in zip(cuts, cuts[1:]):
                 if b > a:
                     if key != keys[a] and held:
-                        if out := flush(key, held):
-                            yield out
+                        yield from flush(key, held)
                         held = []
                     key = int(keys[a])
-                    held.append(fps[a:b])
-        if held and (out := flush(key, held)):
-            yield out
+                    held.append((fps[a:b], *(batch.column(c).slice(a, b - a) for c in more)))
+        if held:
+            yield from flush(key, held)
 
-    return keyed.repartition(parts, by).sortWithinPartitions(by).mapInArrow(run, "u long, v long")
+    kind = distinct.schema["id"].dataType.simpleString() if apart else "long"
+    return keyed.repartition(parts, by).sortWithinPartitions(by).mapInArrow(run, f"u {kind}, v {kind}")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
@@ -221,6 +280,8 @@ RADIUS = 2
 TABLE_BITS, MASK_BITS = 8, 6
 #: Shingle hashes (the least) that a check of similarity holds; texts of fewer shingles are compared exactly.
 SKETCH = 4096
+#: Texts of each side whose sketches a check of a crowd's pairs holds at once.
+BLOCK_TEXTS = 250
 #: Ids (8 bytes each) that may be broadcast to choose texts.
 BROADCAST_IDS = 1_000_000
 
@@ -275,7 +336,9 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     Candidates are pairs within RADIUS bits in one of several short
     fingerprints, by ball hashing in each; every one is checked, by all bits
     together (up to six deviations beyond what this similarity makes differ)
-    and then by its shingles.  Null doc_ids take no part; texts without words
+    and then by its shingles.  Stars and neighbours come first; what crowds a
+    short fingerprint or a variant is then drawn in all pairs of texts that
+    those links leave apart.  Null doc_ids take no part; texts without words
     are alike.
     """
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
@@ -293,13 +356,13 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     small, _ = table(wide.groupBy("key").agg(F.min("doc_id").alias("id")), "representatives")
     value = lambda t: F.shiftleft(F.conv(F.substring("digits", t * bits // 4 + 1, bits // 4), 16, 10).cast("long"), 64 - bits).bitwiseOR(F.lit(t))
     parts = small.select("id", F.hex("key").alias("digits")).select("id", F.explode(F.array(*[value(t) for t in range(tables)])).alias("fp"))
-    # texts that share a short fingerprint are checked against the first of them
+    # texts that share a short fingerprint are first checked against the first of them
     members, _ = table(parts, "members")
-    firsts, _ = table(members.groupBy("fp").agg(F.min("id").alias("first")), "firsts")
-    same = members.join(firsts, "fp").filter("id <> first").select(F.col("first").alias("u"), F.col("id").alias("v"))
-    near = links(firsts.select("fp"), RADIUS, firsts.count() // tables, bits)
+    firsts, _ = table(members.groupBy("fp").agg(F.min("id").alias("first"), F.count("id").alias("n")), "firsts")
+    same = members.join(firsts.drop("n"), "fp").filter("id <> first").select(F.col("first").alias("u"), F.col("id").alias("v"))
+    close, _ = table(links(firsts.select("fp"), RADIUS, firsts.count() // tables, bits).toDF("u_fp", "v_fp"), "close")
     at = lambda c: firsts.select(F.col("fp").alias(f"{c}_fp"), F.col("first").alias(c))
-    near = near.toDF("u_fp", "v_fp").join(at("u"), "u_fp").join(at("v"), "v_fp").select("u", "v")
+    near = close.filter("u_fp <> v_fp").join(at("u"), "u_fp").join(at("v"), "v_fp").select("u", "v")
     drawn, _ = table(same.unionByName(near).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "drawn")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,26 +374,48 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     most = total * share + 6 * np.sqrt(total * share * (1 - share))
     key = lambda c: small.select(F.col("id").alias(c), F.col("key").alias(f"{c}_key"))
-    both = drawn.join(key("u"), "u").join(key("v"), "v").select("u", "v", "u_key", "v_key")
-    pairs, _ = table(both.mapInArrow(alike, f"u {kind}, v {kind}"), "pairs")
-    ids, _ = table(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "asked")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 21):
             some = [np.unique(_shingles(t, words))[:SKETCH].tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(some, pa.binary())], names=["doc_id", "sketch"])
 
-    asked = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    sketches, _ = table(asked.mapInArrow(sketch, f"doc_id {kind}, sketch binary"), "sketches")
-    side = lambda c: sketches.select(F.col("doc_id").alias(c), F.col("sketch").alias(f"{c}_sketch"))
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [_similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) >= similarity for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield batch.select(["u", "v"]).filter(pa.array(got, pa.bool_()))
-
-    edges = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_sketch", "v_sketch").mapInArrow(check, f"u {kind}, v {kind}")
+    def check(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        held: dict = {}
+        for i, x in zip(texts.column("node").to_pylist(), texts.column("sketch").to_pylist()):
+            held.setdefault(i, []).append(np.frombuffer(x, np.uint64))
+        got = [any(_similarity(x, y) >= similarity for x in held[a] for y in held[b]) for a, b in zip(pairs.column("u").to_pylist(), pairs.column("v").to_pylist())]
+        return pairs.select(["u", "v"]).filter(pa.array(got, pa.bool_()))
+
+    def checked(drawn: DataFrame) -> DataFrame:
+        """The drawn pairs that are alike; those of one crowd are checked in cells of BLOCK_TEXTS by BLOCK_TEXTS, each of which gets a text once."""
+        both = drawn.join(key("u"), "u").join(key("v"), "v").select("u", "v", "u_key", "v_key")
+        pairs, _ = table(both.mapInArrow(alike, f"u {kind}, v {kind}"), "pairs")
+        crowds = components(pairs)
+        blocks = crowds.groupBy("root").agg(F.ceil(F.count("node") / BLOCK_TEXTS).alias("blocks"))
+        places, _ = table(crowds.join(blocks, "root").select("node", "root", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "places")
+        asked = docs.join(F.broadcast(places.select(F.col("node").alias("doc_id"))) if places.count() <= BROADCAST_IDS else places.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+        sketches, _ = table(asked.mapInArrow(sketch, f"doc_id {kind}, sketch binary"), "sketches")
+        of = lambda c: places.select(F.col("node").alias(c), F.col("block").alias(f"{c}_block"), *(["root"] if c == "u" else []))
+        cell = ["root", "i", "j"]
+        cells, _ = table(pairs.join(of("u"), "u").join(of("v"), "v").select("root", F.least("u_block", "v_block").alias("i"), F.greatest("u_block", "v_block").alias("j"), "u", "v"), "cells")
+        texts = cells.select(*cell, F.explode(F.array("u", "v")).alias("node")).distinct().join(sketches.toDF("node", "sketch"), "node").toDF("node", "c_root", "c_i", "c_j", "sketch")
+        found = cells.groupBy(*cell).cogroup(texts.groupBy("c_root", "c_i", "c_j")).applyInArrow(check, f"u {kind}, v {kind}")
+        return table(found, "alike")[0]
+
+    edges = checked(drawn)
     roots = components(edges)
+    # pairs that stars and neighbours leave out: of a variant that more than three share, or with a text that isn't the first of its short fingerprint
+    several = firsts.filter("n > 1").select("fp")
+    beside = close.join(several.toDF("u_fp"), "u_fp", "left_semi").select(F.col("v_fp").alias("fp")).unionByName(close.join(several.toDF("v_fp"), "v_fp", "left_semi").select(F.col("u_fp").alias("fp")))
+    crowded = close.filter("u_fp = v_fp").select(F.col("u_fp").alias("fp")).unionByName(several).unionByName(beside).distinct()
+    rest, _ = table(members.join(crowded, "fp", "left_semi").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("fp", "id", F.coalesce("root", "id").alias("root")), "crowded")
+    if many := rest.count():
+        left = links(rest, RADIUS, many // tables, bits, apart=True)
+        left = left.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(drawn, ["u", "v"], "left_anti")
+        left, _ = table(left, "left")
+        if left.count():
+            roots = components(edges.unionByName(checked(left)))
     found = wide.join(small, "key").select("doc_id", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
     return found.select("doc_id", F.coalesce("root", "id").alias("component_id"))
 

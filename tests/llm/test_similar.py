@@ -36,3 +36,21 @@ def test_similar_groups(spark):
     kept = [r["doc_id"] for r in simhash.keep_one(df).collect()]
     assert None in kept and len(kept) == len(set(got.values())) + 1
     assert simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_templated_source(spark):
+    """One template fills every text's first part, so all crowd the same short fingerprints; only some are near copies."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(4, 8))) for _ in range(4000)]
+    head = rng.choices(words, k=180)
+    rows = [head + rng.choices(words, k=28) for _ in range(400)]
+    rows += [w[:188] + rng.choices(words, k=20) for w in rows[:80]]
+    rng.shuffle(rows)
+    docs = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    sets = [set(simhash._shingles(t, 5).tolist()) for _, t in docs]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert 80 <= len(pairs) < 200
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    recall = np.mean([got[a] == got[b] for a, b in pairs])
+    assert recall >= 0.97
+    assert len(set(got.values())) >= len(docs) - len(pairs)
