@@ -158,30 +158,23 @@ def _path_vector(path: tuple[str, ...], names: tuple[str, ...]) -> np.ndarray:
 
 
 COUNTS = 8
-#: Words of a block that its features read (its text is returned whole).
-READ_WORDS = 20
 _DIGIT = re.compile("[0-9]")
 
 
 def features(page: list[Block]) -> np.ndarray:
     x = np.zeros((len(page), PATH_DIMS + WORD_DIMS + COUNTS), np.float32)
-    rows: list[int] = []
-    slots: list[tuple[int, float]] = []
     counts = []
     for i, b in enumerate(page):
         x[i, :PATH_DIMS] = _path_vector(b.path, b.names)
         text = b.text
-        words = text[:200].lower().split(None, READ_WORDS)[:READ_WORDS]
-        slots += [_slot(w, WORD_DIMS) for w in words]
-        rows += [i] * len(words)
-        size, head = len(text), text[:400]
-        counts.append((np.log1p(size) / 5, min(1.0, b.linked / size), len(b.path) / 10, text[-1] in ".!?…", sum(map(head.count, ".,;:!?")) / len(head), _DIGIT.search(text, 0, 80) is not None, i / len(page), 1.0))
+        words = text.lower().split()
+        if words:
+            at, sign = zip(*(_slot(w, WORD_DIMS) for w in words))
+            x[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.5 * np.bincount(at, weights=sign, minlength=WORD_DIMS) / np.sqrt(len(words))
+        size = len(text)
+        counts.append((np.log1p(size) / 5, min(1.0, b.linked / size), len(b.path) / 10, text[-1] in ".!?…", sum(map(text.count, ".,;:!?")) / size, len(_DIGIT.findall(text)) / size, i / len(page), 1.0))
     if page:
         x[:, PATH_DIMS + WORD_DIMS :] = counts
-        at, sign = np.array([s for s, _ in slots]), np.array([v for _, v in slots])
-        row = np.array(rows)
-        sums = np.bincount(row * WORD_DIMS + at, weights=sign, minlength=len(page) * WORD_DIMS).reshape(len(page), WORD_DIMS)
-        x[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.5 * sums / np.sqrt(np.maximum(np.bincount(row, minlength=len(page)), 1))[:, None]
     return x
 
 

@@ -31,6 +31,16 @@ def test_labels_generated_pages():
     assert right / n > 0.98
 
 
+def test_features_read_whole_blocks():
+    start = "word " * 120
+    whole = lambda end: H.features(H.blocks(f"<p>{start}{end} done</p>"))[0]
+    plain, words = whole("aa bb cc dd"), whole("qq rr ss tt")
+    at = slice(H.PATH_DIMS, H.PATH_DIMS + H.WORD_DIMS)
+    assert (plain[at] != words[at]).any()
+    marks, digits = whole("a. b, c; d:"), whole("11 22 33 44")
+    assert marks[-4] > plain[-4] and digits[-3] > plain[-3]
+
+
 def test_extract(spark):
     page = "<html><body><nav><a href=/>Home</a></nav><div class='ad'>Buy</div><article><h1>Head</h1><p>One   two.<p>Three &amp; four.</article><footer>&copy; x</footer></body></html>"
     rows = [(1, "u", page), (2, "v", None), (3, None, ""), (None, "w", page), (1, "u", page)]
