@@ -51,13 +51,54 @@ def full_url(c: Column) -> Column:
     return F.when(F.contains(bare, F.lit("://")), bare).otherwise(F.concat(F.lit("https://"), bare))
 
 
-def doi(c: Column) -> Column:
-    return F.rtrim(F.regexp_replace(F.rtrim(F.regexp_extract(c, r"\b(10\.\d{4,}(?:\.\d{1,})*/.+)", 1)), r"\.+$", ""))
+def normalise_all(c: Column) -> Column:
+    """Every text of an array, normalised."""
+    return F.transform(c, normalise)
 
 
-def pmid(c: Column) -> Column:
-    return F.regexp_extract(c, r"PMID\s*:\s*(\d{1,10})", 1)
+def flatten_all(c: Column, depth: int) -> Column:
+    """An array nested `depth` times as one array."""
+    for _ in range(depth):
+        c = F.flatten(c)
+    return c
 
 
-def pmcid(c: Column) -> Column:
-    return F.regexp_extract(c, r"(?i)(PMC\d{1,})", 1)
+def ends_with_word(c: Column) -> Column:
+    """Whether the last character is a letter, digit or underscore."""
+    return F.coalesce(c, F.lit("")).rlike(r"(?U)^.*\w$")
+
+
+def starts_with_word(c: Column) -> Column:
+    return F.coalesce(c, F.lit("")).rlike(r"(?U)^\w")
+
+
+def skip_blanks(c: Column, start: Column) -> Column:
+    """The first place from `start` on (from 0) that isn't white space; the length if there is none."""
+    return start + F.length(F.regexp_extract(c.substr((start + 1).cast("int"), F.length(c)), r"(?U)^\s*", 0))
+
+
+def moved_range(c: Column, by: Column) -> Column:
+    """A range (start, end), moved."""
+    return F.struct((c["start"] + by).alias("start"), (c["end"] + by).alias("end"))
+
+
+def item(c: Column, i: int) -> Column:
+    """The i-th item of an array, from 0, or from the end if negative; null where there is none."""
+    return F.try_element_at(c, F.lit(i + 1 if i >= 0 else i))
+
+
+def scoped(name: str, scope: str | None = None, level: int | str | None = None) -> str:
+    """An attribute's name within a scope and a level of tags."""
+    name = f"level{level}_{name}" if level else name
+    return f"{scope}-{name}" if scope else name
+
+
+def by_scope(attributes: Column, name: str) -> Column:
+    """The values of an attribute in a map, by scope; the scope of the bare name is an empty string."""
+    own = F.map_filter(attributes, lambda k, v: (k == name) | k.endswith(f"-{name}"))
+    return F.transform_keys(own, lambda k, v: F.when(k == name, F.lit("")).otherwise(F.substring(k, F.lit(1), F.length(k) - len(name) - 1)))
+
+
+def without_junk(c: Column) -> Column:
+    """A text less what the line matcher passes over, each character judged by the whole text: a blank or comma after a dot, a dot after a letter, a character that repeats the one before, asterisks."""
+    return F.regexp_replace(c, r"(?s)(?<=\.)[ ,]|(?<=\p{L})\.|\*|(?<=(.))\1", "")

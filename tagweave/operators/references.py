@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions import references as R
@@ -28,8 +28,9 @@ def by_sequence(tokens: DataFrame, keys: list[str], fold: Callable[[list[R.Token
     return rows.select(*keys, F.explode(run("l")).alias("r")).select(*keys, "r.*")
 
 
-def post_process(tokens: DataFrame, keys: list[str]) -> DataFrame:
-    return by_sequence(tokens, keys, R.post_process)
+def post_process(tokens: DataFrame, keys: list[str], names: tuple[str, ...] = ("author", "editor"), patterns: dict[str, str] | None = None, marker: str = "etal") -> DataFrame:
+    """References' tags repaired; see `functions.references.post_process` for the tags' names."""
+    return by_sequence(tokens, keys, lambda t: R.post_process(t, names, patterns, marker))
 
 
 def extend_to_lines(tokens: DataFrame, keys: list[str], merge: list[str], extend: list[str]) -> DataFrame:
@@ -58,5 +59,14 @@ def fix_references(refs: DataFrame, xml: str, find_missing: bool = True) -> Data
 
 def changed_summary(fixed: DataFrame, key: str, ref: str) -> DataFrame:
     """key, n_changed and the changed references' ids, comma-joined."""
+    # ids of one document's references, of which it has hundreds at most
     ids = F.array_join(F.array_sort(F.collect_list(F.when(F.col("changed"), F.col(ref).cast("string")))), ",")
     return fixed.groupBy(key).agg(F.count_if("changed").alias("n_changed"), ids.alias("changed_ids"))
+
+
+def metadata_record(fixed: DataFrame, key: str, ref: str, repaired: str, timestamp: Column) -> DataFrame:
+    """key and an array of name and value that says what a run changed: note, time, whether markup was repaired, count and ids of changed references."""
+    names = ("fix-jats-note", "fix-jats-run-timestamp", "fix-jats-malformatted-xml", "fix-jats-changed-reference-count", "fix-jats-changed-reference-ids")
+    found = changed_summary(fixed, key, ref).join(fixed.groupBy(key).agg(F.bool_or(repaired).alias("__r")), key)
+    values = (F.lit("This XML file had been modified to fix some of the potential errors."), timestamp.cast("string"), F.lower(F.col("__r").cast("string")), F.col("n_changed").cast("string"), F.col("changed_ids"))
+    return found.select(key, F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in zip(names, values)]).alias("meta"))

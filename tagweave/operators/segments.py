@@ -34,21 +34,33 @@ def headers(lines: DataFrame, key: str, least: int = 2, first_before: int = 50)
 
 
 def page_numbers(lines: DataFrame, key: str) -> DataFrame:
-    """Untagged lines that are a number between two known pages become page, where the numbers rise; lines with a number only are gathered."""
+    """Untagged lines that are a number become page where it fits between the known pages around, the first page being 1.
+
+    Lines are taken in order: a number counts if it is at least the least page
+    still to come and less than the next known page; each one taken raises the
+    least page by one, a known page sets it to its number (-1 if that is none).
+    Only lines with a number or a known page are gathered by key.
+    """
     ship(lines.sparkSession)
-    number = F.when(F.trim("text").rlike(r"^\d{1,9}$"), F.trim("text").cast("int"))
-    some = lines.select(key, "line_no", "section", number.alias("n")).filter("n is not null and (section is null or section = 'page')")
+    text = F.trim("text")
+    number = F.col("section").isNull() & text.rlike("^[0-9]+$")
+    some = lines.select(key, "line_no", "section", text.alias("n")).filter(number | (F.col("section") == "page"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("line_no")
-        known = [i for i, s in enumerate(pdf["section"]) if s == "page"]
-        numbers, taken = pdf["n"].tolist(), []
-        for a, b in zip(known, known[1:]):
-            low, high = numbers[a] + 1, numbers[b] - 1
-            for i in range(a + 1, b):
-                if low <= numbers[i] <= high:
-                    taken.append(i)
-                    low = numbers[i] + 1
+        numbers = [int(n) if n.isascii() and n.isdigit() else -1 for n in pdf["n"]]
+        known = (pdf["section"] == "page").tolist()
+        least, upto, limits = 1, None, []
+        for n, page in zip(numbers[::-1], known[::-1]):
+            upto = n if page else upto
+            limits.append(upto)
+        taken = []
+        for i, (n, page, limit) in enumerate(zip(numbers, known, limits[::-1])):
+            if page:
+                least = n
+            elif limit is not None and least <= n < limit:
+                taken.append(i)
+                least += 1
         return pdf.iloc[taken][[key, "line_no"]]
 
     found = some.groupBy(key).applyInPandas(run, f"{key} {lines.schema[key].dataType.simpleString()}, line_no {lines.schema['line_no'].dataType.simpleString()}")
@@ -89,17 +101,21 @@ def line_number_runs(numbers: list[int], gap: int = 1) -> list[list[int]]:
     return out
 
 
-def line_numbers(tokens: DataFrame, key: str, least: int = 3, gap: int = 1, ratio: float = 0.7) -> DataFrame:
-    """key, line_no of lines whose first token is a line number: in a run of at least `least`, if at least `ratio` of the document's lines begin with one."""
+def line_numbers(tokens: DataFrame, key: str | list[str], least: int = 10, gap: int = 10, ratio: float = 0.1) -> DataFrame:
+    """keys, line_no of lines whose first token is a line number: in a run of at least `least`, if at least `ratio` of the lines begin with one.
+
+    `key` names a page (document and page number): runs and shares are those of a page.
+    """
     ship(tokens.sparkSession)
-    first = tokens.filter(F.trim("token") != "").groupBy(key, "line_no").agg(F.min_by("token", "token_no").alias("token"))
-    number = F.when(F.col("token").rlike("^[0-9]{1,9}$"), F.col("token").cast("int"))
+    keys = [key] if isinstance(key, str) else key
+    first = tokens.filter(F.trim("token") != "").groupBy(*keys, "line_no").agg(F.min_by("token", "token_no").alias("n"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("line_no")
-        some = pdf[pdf["n"] > 0]
-        at = sorted(i for r in line_number_runs(some["n"].astype(int).tolist(), gap) if len(r) >= least for i in r)
-        return some.iloc[at if len(at) >= ratio * len(pdf) else []][[key, "line_no"]]
+        numbers = [int(n) if n.isdecimal() else 0 for n in pdf["n"]]
+        some = [i for i, n in enumerate(numbers) if n > 0]
+        at = sorted(some[i] for r in line_number_runs([numbers[i] for i in some], gap) if len(r) >= least for i in r)
+        return pdf.iloc[at if at and len(at) >= ratio * len(pdf) else []][[*keys, "line_no"]]
 
-    kinds = {c: tokens.schema[c].dataType.simpleString() for c in (key, "line_no")}
-    return first.select(key, "line_no", number.alias("n")).groupBy(key).applyInPandas(run, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    kinds = {c: tokens.schema[c].dataType.simpleString() for c in (*keys, "line_no")}
+    return first.groupBy(*keys).applyInPandas(run, ", ".join(f"{c} {k}" for c, k in kinds.items()))

@@ -47,33 +47,43 @@ def replace_tags(tag: Column, names: dict[str, str | None]) -> Column:
     return F.when(tag_value(tag).isin(gone), F.lit(None)).otherwise(F.concat(tag_prefix(tag), new))
 
 
-def expand_back(df: DataFrame, key: str, position: str, tag: str, enabled: list[str], to: str) -> DataFrame:
-    """Untagged rows before a row of an enabled value join it: b- on their first, i- on the others and on that row."""
+def _known(tag: str, preserved: str | None) -> Column:
+    """The tag, or the one that the document came with."""
+    return F.col(tag) if preserved is None else F.coalesce(tag, preserved)
+
+
+def expand_back(df: DataFrame, key: str, position: str, tag: str, enabled: list[str], to: str, preserved: str | None = None) -> DataFrame:
+    """Untagged rows before a row of an enabled value join it: b- on their first, i- on the others and on that row; rows with a preserved tag aren't untagged."""
     order = W.partitionBy(key).orderBy(position)
-    out = fill_backward(df, key, position, F.col(tag), "__next")
-    untagged = F.col(tag).isNull()
+    known = _known(tag, preserved)
+    out = fill_backward(df, key, position, known, "__next")
+    untagged = known.isNull()
     starts = untagged & ~F.coalesce(F.lag(untagged).over(order), F.lit(False))
     filled = F.when(tag_value(F.col("__next")).isin(enabled), F.concat(F.when(starts, "b-").otherwise("i-"), tag_value(F.col("__next"))))
-    after = ~untagged & F.coalesce(F.lag(untagged).over(order), F.lit(False)) & tag_value(F.col(tag)).isin(enabled)
-    return out.withColumn(to, F.when(untagged, filled).when(after, F.concat(F.lit("i-"), tag_value(F.col(tag)))).otherwise(F.col(tag))).drop("__next")
+    after = ~untagged & F.coalesce(F.lag(untagged).over(order), F.lit(False)) & tag_value(known).isin(enabled)
+    return out.withColumn(to, F.when(untagged, filled).when(after, F.concat(F.lit("i-"), tag_value(known))).otherwise(F.col(tag))).drop("__next")
 
 
-def expand_on(df: DataFrame, key: str, position: str, tag: str, enabled: list[str], to: str) -> DataFrame:
-    """Untagged rows after a row of an enabled value join it with i-."""
-    out = fill_forward(df, key, position, F.col(tag), "__last")
-    return out.withColumn(to, F.coalesce(tag, F.when(tag_value(F.col("__last")).isin(enabled), F.concat(F.lit("i-"), tag_value(F.col("__last")))))).drop("__last")
+def expand_on(df: DataFrame, key: str, position: str, tag: str, enabled: list[str], to: str, preserved: str | None = None) -> DataFrame:
+    """Untagged rows after a row of an enabled value join it with i-; rows with a preserved tag aren't untagged."""
+    known = _known(tag, preserved)
+    out = fill_forward(df, key, position, known, "__last")
+    joined = F.when(known.isNull() & tag_value(F.col("__last")).isin(enabled), F.concat(F.lit("i-"), tag_value(F.col("__last"))))
+    return out.withColumn(to, F.coalesce(tag, joined)).drop("__last")
 
 
-def merge_groups(df: DataFrame, key: str, position: str, tag: str, groups: dict[str, str], to: str) -> DataFrame:
-    """Tags with a group become it (i- where the group goes on), and untagged rows between two tags of one group join it."""
-    name = F.coalesce(*[F.when(tag_value(F.col(tag)) == k, F.lit(v)) for k, v in groups.items()], tag_value(F.col(tag)))
-    known = F.when(F.col(tag).isNotNull(), name)
-    out = fill_backward(fill_forward(df, key, position, known, "__a"), key, position, known, "__b")
-    inner = F.when(F.col("__a").eqNullSafe(F.col("__b")) & F.col("__a").isin(*groups.values()), F.col("__a"))
-    out = runs(out.withColumn("__g", F.coalesce(known, inner)), key, position, "__g", "__run")
-    first = F.row_number().over(W.partitionBy(key, "__run").orderBy(position)) == 1
-    new = F.when(F.col("__g").isin(*groups.values()), F.concat(F.when(first, "b-").otherwise("i-"), F.col("__g"))).otherwise(F.col(tag))
-    return out.withColumn(to, new).drop("__a", "__b", "__g", "__run")
+def merge_groups(df: DataFrame, key: str, position: str, tag: str, groups: dict[str, str], to: str, preserved: str | None = None, parent: str | None = None) -> DataFrame:
+    """Untagged rows after a tag with a group get i-<group>, until the next tag; tagged rows stay as they are.
+
+    Preserved tags count as tags.  With `parent`, a column of tags one level up,
+    rows without one are passed over: they neither get a group nor end one.
+    """
+    known = _known(tag, preserved)
+    seen = known if parent is None else F.when(F.col(parent).isNotNull(), known)
+    out = fill_forward(df, key, position, tag_value(seen), "__last")
+    group = F.coalesce(*[F.when(F.col("__last") == k, F.lit(v)) for k, v in groups.items()])
+    open_ = known.isNull() if parent is None else known.isNull() & F.col(parent).isNotNull()
+    return out.withColumn(to, F.when(open_, F.concat(F.lit("i-"), group)).otherwise(F.col(tag))).drop("__last")
 
 
 def offsets(df: DataFrame, key: str, position: str, text: str, between: int = 0) -> DataFrame:
@@ -120,3 +130,19 @@ def entities(df: DataFrame, key: str, position: str, tag: str, token: str, after
     piece = F.struct(F.col(position).alias("p"), F.concat(F.col(token), F.when(last, "").otherwise(F.coalesce(after, F.lit(" ")))).alias("t"))
     rows = numbered.withColumn("__piece", piece).groupBy(key, "__run").agg(F.first(tag_value(F.col(tag))).alias("name"), F.min(position).alias("first"), F.array_sort(F.collect_list("__piece")).alias("l"))
     return rows.select(key, "name", "first", F.array_join("l.t", "").alias("text"))
+
+
+def untagged_runs(df: DataFrame, line: list[str], position: str, tag: str, blank: Column) -> DataFrame:
+    """The untagged, non-blank tokens with `run`: which maximal untagged stretch of their line they belong to, from 1; blanks don't part stretches."""
+    solid = df.filter(~blank)
+    order = W.partitionBy(*line).orderBy(position)
+    free = F.col(tag).isNull()
+    start = (free & ~F.coalesce(F.lag(free).over(order), F.lit(False))).cast("int")
+    numbered = solid.withColumn("__start", start).withColumn("run", F.sum("__start").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return numbered.filter(free).drop("__start")
+
+
+def next_pairs(df: DataFrame, key: str, position: str, columns: list[str]) -> DataFrame:
+    """Each row with `next_<column>` of the row after it; null for the last of a key."""
+    order = W.partitionBy(key).orderBy(position)
+    return df.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})

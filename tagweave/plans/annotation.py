@@ -86,16 +86,6 @@ def late_front(spark, sf_dir):
     return G.clear_late_front(turns, "conv_id", 2).select("conv_id", F.col("line_no").alias("turn"), F.coalesce("section", F.lit("none")).alias("section"))
 
 
-def page_numbers(spark, sf_dir):
-    rows = [(1, i, t, s) for i, (t, s) in enumerate([("1", "page"), ("2", None), ("9", None), ("3", None), ("x", None), ("5", "page"), ("6", None)])]
-    return G.page_numbers(_rows(spark, rows, "doc int, line_no int, text string, section string"), "doc").select("doc", "line_no", "section")
-
-
-def line_numbers(spark, sf_dir):
-    rows = [(d, i, 0, t) for d, firsts in ((1, "1 2 x 3"), (2, "4 3 2 1"), (3, "1 10 20 30")) for i, t in enumerate(firsts.split())]
-    return G.line_numbers(_rows(spark, rows, "doc int, line_no int, token_no int, token string"), "doc")
-
-
 def _events(spark, sf_dir):
     tag = F.when(F.col("event_type") == "purchase", "b-purchase").when(F.col("event_type") == "click", "i-click")
     return _read(spark, sf_dir, "events").select("event_id", "user_id", tag.alias("tag"))
@@ -111,11 +101,6 @@ def tags_expanded_on(spark, sf_dir):
     return S.expand_on(_events(spark, sf_dir), "user_id", "event_id", "tag", ["purchase"], "new").select("event_id", F.coalesce("new", F.lit("")).alias("new"))
 
 
-def tags_merged(spark, sf_dir):
-    """Purchases and clicks of a user as one group, with what stands between them."""
-    return S.merge_groups(_events(spark, sf_dir), "user_id", "event_id", "tag", {"purchase": "deal", "click": "deal"}, "new").select("event_id", F.coalesce("new", F.lit("")).alias("new"))
-
-
 def tags_preserved(spark, sf_dir):
     """Event types as tags that an event came with: clicks are to be annotated anew, purchases are put back."""
     events = _read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("b-x/"), "event_type").alias("tag"))
@@ -160,65 +145,7 @@ def page_paths(spark, sf_dir):
     return trees.select(nodes, "page_id", "//p[@class] | //li//p | /html/body//a[@href]").groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-_XML = '<r><s t="x">A <b>c</b></s><s>D<e><b>4</b></e></s></r>'
-
-
-def path_steps(spark, sf_dir):
-    nodes = trees.shred(_rows(spark, [(1, _XML), (2, "<r><s>5"), (3, None)], "doc int, xml string"), "doc", "xml")
-    paths = ("/r/s", "//s//b", "//s/b", '//s[@t="x"]|//e', "//s[not(@t)]")
-    out = None
-    for p in paths:
-        some = trees.select(nodes, "doc", p).select(F.lit(p).alias("path"), "doc", "content")
-        out = some if out is None else out.unionByName(some)
-    return out
-
-
-def markup_repaired(spark, sf_dir):
-    rows = [(1, "<t><f>abc</p></t>"), (2, "<t>a &gt; b"), (3, "<t><b>x</t>"), (4, "<t>ok</t>"), (5, None)]
-    return _rows(spark, rows, "id int, xml string").select("id", trees.repair(F.col("xml")).alias("xml"))
-
-
-def markup_written(spark, sf_dir):
-    rows = [(1, 0, 0, "A", "b-title"), (1, 0, 1, " ", "i-title"), (1, 0, 2, "b", "i-title"), (1, 1, 0, "x", None), (1, 1, 1, "<", "b-note"), (1, 1, 2, "y", "b-note")]
-    return trees.to_markup(_rows(spark, rows, "doc int, line_no int, token_no int, token string, tag string"), "doc", {"note": "div/note"})
-
-
-def reference_tags(spark, sf_dir):
-    rows = [(1, i, t, g) for i, (t, g) in enumerate([("A", "b-author"), (".", None), (" ", None), ("et al", "b-etal"), (" ", None), ("doi", None), (":", None), ("10.1", "b-idno")])]
-    return O.post_process(_rows(spark, rows, "ref int, token_no int, token string, tag string"), ["ref"]).select("ref", "token_no", F.coalesce("tag", F.lit("")).alias("tag"))
-
-
-def line_tags(spark, sf_dir):
-    rows = [(k, i, str(i), g) for k, tags in ((1, ["b-t", None, "b-t"]), (2, ["b-t", "i-t", None]), (3, [None, "b-t", "i-t"]), (4, ["b-t", None, None, "b-u", "i-u", "i-u"]), (5, ["b-v", "i-v", None])) for i, g in enumerate(tags)]
-    return O.extend_to_lines(_rows(spark, rows, "line int, token_no int, token string, tag string"), ["line"], ["t", "u"], ["t", "u"]).select("line", "token_no", F.coalesce("tag", F.lit("")).alias("tag"))
-
-
-def references_fixed(spark, sf_dir):
-    rows = [(1, "a", '<ref>doi: <pub-id pub-id-type="DOI">10.1234/a</pub-id></ref>'), (1, "b", "<ref>PMID: 12</ref>"), (1, "c", "<ref>x</ref>"), (2, "d", "<ref>y</ref>")]
-    return O.changed_summary(O.fix_references(_rows(spark, rows, "doc int, id string, xml string"), "xml"), "doc", "id")
-
-
-_IDS = ["doi: 10.1234/a.b", "10.1234/a [doi] ", "x 10.1234/a (Epub 2001)", "PMID: 123 PMC77", "S0123-123X(11)01234-X", "wos:000123456789012", "none"]
-
-
-def identifier_kinds(spark, sf_dir):
-    t = F.col("t")
-    cols = {"doi": ident.doi, "pmid": ident.pmid, "pmcid": ident.pmcid, "pii": ident.pii_valid, "wos": ident.wos}
-    return _rows(spark, list(enumerate(_IDS)), "id int, t string").select("id", *[f(t).alias(k) for k, f in cols.items()])
-
-
-def list_specs(spark, sf_dir):
-    rows = [(i, ",".join(mapping.list_algebra(s, ["a", "b"]))) for i, s in enumerate(["", "x,y", "+c", "+c,d,-a", "-a"])]
-    return _rows(spark, rows, "id int, items string")
-
-
-def required_fields(spark, sf_dir):
-    """Whether each conversation's first user turn is as its first assistant turn, or one of them lacks."""
-    first = _read(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.min_by(F.substring(F.regexp_replace("text", "[^ -~]", ""), 1, 40), "turn").alias("text"))
-    return M.required_fields(first.filter("role = 'user'").select("conv_id", F.lit("first").alias("field"), "text"), first.filter("role = 'assistant'").select("conv_id", F.lit("first").alias("field"), "text"), "conv_id", ["first"], ["first"])
-
-
-QUERIES = {f.__name__: f for f in (passage_tags, match_report, fuzzy_passages, header_lines, merged_sections, segmented_lines, late_front, page_numbers, line_numbers, tags_expanded_back, tags_expanded_on, tags_merged, tags_preserved, role_entities, range_gaps, url_targets, output_names, page_nodes, page_paths, path_steps, markup_repaired, markup_written, reference_tags, line_tags, references_fixed, identifier_kinds, list_specs, required_fields)}
+QUERIES = {f.__name__: f for f in (passage_tags, match_report, fuzzy_passages, header_lines, merged_sections, segmented_lines, late_front, tags_expanded_back, tags_expanded_on, tags_preserved, role_entities, range_gaps, url_targets, output_names, page_nodes, page_paths)}
 
 _SPANS = "(SELECT doc_id, item_id, CAST(strpos(d.text, b.text) - 1 AS BIGINT) AS s, CAST(strpos(d.text, b.text) - 1 + length(b.text) AS BIGINT) AS e, b.text AS item FROM documents d JOIN benchmark b ON length(b.text) > 0 AND contains(d.text, b.text))"
 _LINES = "(SELECT doc_id, line_no, text, CASE WHEN line_no = 0 THEN 'front' WHEN contains(text, '@') THEN 'reference' WHEN text = '' THEN 'annex' END AS section FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents))"
@@ -238,24 +165,12 @@ SELECT doc_id, CAST(coalesce(sum(n) FILTER (ok AND n >= greatest(2, top - 1)), 0
     "merged_sections": f"""SELECT doc_id, coalesce(CASE WHEN section IS NULL AND b IN ('front', 'annex', 'reference') AND (b = a OR (a IS NULL AND b = 'annex')) THEN b ELSE section END, 'none') AS section, count(*) AS n FROM
 (SELECT *, coalesce(last_value(section IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), 'front') AS b, first_value(section IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS a FROM {_LINES}) GROUP BY ALL""",
     "late_front": f"SELECT conv_id, turn, CASE WHEN role <> 'user' THEN role WHEN min(turn) OVER (PARTITION BY conv_id, run) > 2 THEN 'none' ELSE 'front' END AS section FROM {_TURNS}",
-    "page_numbers": "SELECT * FROM (VALUES (1, 0, 'page'), (1, 1, 'page'), (1, 2, NULL), (1, 3, 'page'), (1, 4, NULL), (1, 5, 'page'), (1, 6, NULL)) AS t(doc, line_no, section)",
-    "line_numbers": "SELECT * FROM (VALUES (1, 0), (1, 1), (1, 3)) AS t(doc, line_no)",
     "tags_expanded_back": f"""SELECT event_id, coalesce(CASE WHEN v IS NULL AND nxt = 'purchase' THEN CASE WHEN pn AND NOT is_first THEN 'i-' ELSE 'b-' END || nxt WHEN v = 'purchase' AND pn AND NOT is_first THEN 'i-purchase' ELSE tag END, '') AS new FROM
 (SELECT *, lag(v) OVER ({_BY}) IS NULL AS pn, row_number() OVER ({_BY}) = 1 AS is_first, first_value(v IGNORE NULLS) OVER ({_BY} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nxt FROM {_EVENTS})""",
     "tags_expanded_on": f"SELECT event_id, coalesce(tag, CASE WHEN last_value(v IGNORE NULLS) OVER ({_BY} ROWS UNBOUNDED PRECEDING) = 'purchase' THEN 'i-purchase' END, '') AS new FROM {_EVENTS}",
-    "tags_merged": f"SELECT event_id, CASE WHEN NOT inside THEN '' WHEN event_id = f THEN 'b-deal' ELSE 'i-deal' END AS new FROM (SELECT event_id, coalesce(event_id BETWEEN f AND l, false) AS inside, f FROM (SELECT *, min(event_id) FILTER (v IS NOT NULL) OVER (PARTITION BY user_id) AS f, max(event_id) FILTER (v IS NOT NULL) OVER (PARTITION BY user_id) AS l FROM {_EVENTS}))",
     "tags_preserved": "SELECT event_id, CASE event_type WHEN 'purchase' THEN 'b-buy' ELSE '' END AS tag, CASE event_type WHEN 'purchase' THEN 'b-buy' WHEN 'click' THEN '' ELSE coalesce('b-x/' || event_type, '') END AS preserved_tag FROM events",
     "role_entities": f"SELECT conv_id, role AS name, CAST(min(turn) AS BIGINT) AS first, string_agg(text, ' ' ORDER BY turn) AS text FROM {_TURNS} GROUP BY conv_id, run, role",
     "range_gaps": "WITH u AS (SELECT conv_id, turn AS s, turn + 1 AS e FROM conversations WHERE role = 'user'), n AS (SELECT conv_id, max(turn) + 1 AS n FROM conversations GROUP BY conv_id), g AS (SELECT conv_id, coalesce(lag(e) OVER (PARTITION BY conv_id ORDER BY s), 0) AS s, s AS e FROM u UNION ALL SELECT conv_id, max(e), any_value(n) FROM u JOIN n USING (conv_id) GROUP BY conv_id) SELECT conv_id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS \"end\" FROM g WHERE s < e",
     "url_targets": f"SELECT DISTINCT a.url AS path, b.url AS target_path, CAST(length(b.html) AS VARCHAR) AS target_text FROM pages a JOIN pages b ON regexp_replace({_BASE.replace('url', 'a.url')}, '[0-9]$', '7') = {_BASE.replace('url', 'b.url')}",
     "output_names": rf"SELECT page_id, regexp_replace(url, '/?[^/]*$', '') || '/' || regexp_replace(n, '\.[^.]*$', '') || '.tei' || regexp_extract(n, '\.[^.]*$') AS name, 'out/' || {_BASE} AS path FROM (SELECT *, regexp_replace({_BASE}, '\.gz$', '') AS n FROM pages)",
-    "path_steps": """SELECT * FROM (VALUES ('/r/s', 1, 'A c'), ('/r/s', 1, 'D4'), ('/r/s', 2, '5'), ('//s//b', 1, 'c'), ('//s//b', 1, '4'), ('//s/b', 1, 'c'), ('//s[@t="x"]|//e', 1, 'A c'), ('//s[@t="x"]|//e', 1, '4'), ('//s[not(@t)]', 1, 'D4'), ('//s[not(@t)]', 2, '5')) AS t(path, doc, content)""",
-    "markup_repaired": "SELECT * FROM (VALUES (1, '<t><f>abc</f></t>'), (2, '<t>a &gt; b</t>'), (3, '<t><b>x</b></t>'), (4, '<t>ok</t>'), (5, NULL)) AS t(id, xml)",
-    "markup_written": "SELECT 1 AS doc, '<tei><text><title>A b</title><lb/>x<div><note>&lt;</note><note>y</note></div></text></tei>' AS xml",
-    "reference_tags": "SELECT * FROM (VALUES (1, 0, 'b-author'), (1, 1, 'i-author'), (1, 2, 'i-author'), (1, 3, 'i-author'), (1, 4, ''), (1, 5, 'b-idno'), (1, 6, 'i-idno'), (1, 7, 'i-idno')) AS t(ref, token_no, tag)",
-    "line_tags": "SELECT * FROM (VALUES (1, 0, 'b-t'), (1, 1, 'i-t'), (1, 2, 'i-t'), (2, 0, 'b-t'), (2, 1, 'i-t'), (2, 2, 'i-t'), (3, 0, 'b-t'), (3, 1, 'i-t'), (3, 2, 'i-t'), (4, 0, 'b-t'), (4, 1, 'b-u'), (4, 2, 'i-u'), (4, 3, 'i-u'), (4, 4, 'i-u'), (4, 5, 'i-u'), (5, 0, 'b-v'), (5, 1, 'i-v'), (5, 2, '')) AS t(line, token_no, tag)",
-    "references_fixed": "SELECT * FROM (VALUES (1, CAST(2 AS BIGINT), 'a,b'), (2, 0, '')) AS t(doc, n_changed, changed_ids)",
-    "identifier_kinds": "SELECT * FROM (VALUES (0, '10.1234/a.b', '', '', '', ''), (1, '10.1234/a', '', '', '', ''), (2, '10.1234/a', '', '', '', ''), (3, '', '123', 'PMC77', '', ''), (4, '', '', '', 'S0123-123X(11)01234-X', ''), (5, '', '', '', '', '000123456789012'), (6, '', '', '', '', '')) AS t(id, doi, pmid, pmcid, pii, wos)",
-    "list_specs": "SELECT * FROM (VALUES (0, ''), (1, 'x,y'), (2, 'a,b,c'), (3, 'b,c,d'), (4, 'b')) AS t(id, items)",
-    "required_fields": "WITH f AS (SELECT conv_id, role, arg_min(left(regexp_replace(text, '[^ -~]', '', 'g'), 40), turn) AS t FROM conversations GROUP BY conv_id, role) SELECT u.conv_id, coalesce(u.t, '') = '' OR (a.t IS NOT NULL AND (greatest(length(u.t), length(a.t)) = 0 OR 1.0::DOUBLE - levenshtein(u.t, a.t)::DOUBLE / greatest(length(u.t), length(a.t)) >= 0.8)) AS passed FROM f u LEFT JOIN f a ON a.conv_id = u.conv_id AND a.role = 'assistant' WHERE u.role = 'user'",
 }

@@ -29,14 +29,6 @@ def normalise_text(spark, sf_dir):
     return _read(spark, sf_dir, "benchmark").select("item_id", T.strip_whitespace(T.normalise(F.col("text"))).alias("normal"))
 
 
-def token_offsets(spark, sf_dir):
-    """Each token of the benchmark items with its span, from running lengths."""
-    items = _read(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_])"), F.lit(1))).alias("token_no", "token"))
-    from pyspark.sql import Window as W
-
-    end = F.sum(F.length("token")).over(W.partitionBy("item_id").orderBy("token_no").rowsBetween(W.unboundedPreceding, 0))
-    return items.withColumn("end", end.cast("long")).select("item_id", F.col("token_no").cast("long").alias("token_no"), "token", (F.col("end") - F.length("token")).alias("start"), "end")
-
 
 def repeated_lines(spark, sf_dir):
     """Running headers: lines of two words or more, not all digits and dots, that a document repeats, most frequent first."""
@@ -64,14 +56,6 @@ def fill_both(spark, sf_dir):
     return out.select("event_id", F.coalesce("last_bought", F.lit(-1)).alias("last_bought"), F.coalesce("next_bought", F.lit(-1)).alias("next_bought"))
 
 
-def resume_anti(spark, sf_dir):
-    """Documents without a label: what a resumed run has still to do."""
-    return _read(spark, sf_dir, "documents").select("doc_id", "source").join(_read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
-
-
-def pair_semi(spark, sf_dir):
-    """Documents with a label."""
-    return _read(spark, sf_dir, "documents").select("doc_id", "lang").join(_read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
 
 
 def begin_inside_tags(spark, sf_dir):
@@ -86,9 +70,6 @@ def tag_replace(spark, sf_dir):
     return tags.select("conv_id", "turn", S.replace_tags(F.col("tag"), {"user": "human", "system": None}).alias("tag"))
 
 
-def html_title(spark, sf_dir):
-    return _read(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<p>")).cast("long").alias("n_paragraphs"))
-
 
 def url_parts(spark, sf_dir):
     """Directory, name and extension of each page's address."""
@@ -103,23 +84,9 @@ def longest_first(spark, sf_dir):
     return rows.select("item_id", F.array_join(F.col("l.line"), "|").alias("lines"))
 
 
-def identifiers(spark, sf_dir):
-    """Identifiers in reference strings."""
-    rows = [("a", "doi: 10.1234/abc.5. "), ("b", "PMID: 12345 PMC987"), ("c", "see https://doi.org/10.12345/x/1"), ("d", "none"), ("e", "pmc12 and PMID:7")]
-    df = ship(spark).createDataFrame(rows, "ref string, t string")
-    return df.select("ref", T.doi(F.col("t")).alias("doi"), T.pmid(F.col("t")).alias("pmid"), T.pmcid(F.col("t")).alias("pmcid"))
-
-
-def required_check(spark, sf_dir):
-    """Consecutive benchmark items compared as found and expected values, passed at a ratio of 0.8."""
-    # ASCII only: the SQL engine that checks this counts edits in bytes
-    items = _read(spark, sf_dir, "benchmark").select("item_id", F.substring(F.regexp_replace("text", "[^ -~]", ""), 1, 60).alias("t"))
-    pairs = items.alias("a").join(items.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("u")).alias("b"), "item_id")
-    ratio = T.levenshtein_ratio(F.lower("t"), F.lower("u"))
-    return pairs.select("item_id", F.round(ratio, 6).alias("ratio"), (ratio >= 0.8).alias("passed"))
 
 
-QUERIES = {f.__name__: f for f in (line_stats, normalise_text, token_offsets, repeated_lines, majority_role, turn_runs, fill_both, resume_anti, pair_semi, begin_inside_tags, tag_replace, html_title, url_parts, longest_first, identifiers, required_check)}
+QUERIES = {f.__name__: f for f in (line_stats, normalise_text, repeated_lines, majority_role, turn_runs, fill_both, begin_inside_tags, tag_replace, url_parts, longest_first)}
 
 _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents)"
 _RUNS = """(SELECT *, sum(st) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM (SELECT *, CASE WHEN lag(role) OVER (PARTITION BY conv_id ORDER BY turn) IS NOT DISTINCT FROM role AND row_number() OVER (PARTITION BY conv_id ORDER BY turn) > 1 THEN 0 ELSE 1 END AS st FROM conversations))"""
@@ -127,18 +94,12 @@ _TAGS = f"(SELECT conv_id, turn, CASE WHEN row_number() OVER (PARTITION BY conv_
 ORACLES = {
     "line_stats": f"SELECT doc_id, count(*) AS n_lines, count(*) FILTER (trim(line) = '') AS n_blank, max(length(line)) AS longest FROM {_LINES} GROUP BY doc_id",
     "normalise_text": "SELECT item_id, regexp_replace(regexp_replace(replace(regexp_replace(replace(translate(lower(replace(text, '&apos;', '\"')), '–— ''', '-- \"'), chr(9), ' '), ' +', ' ', 'g'), chr(13), chr(10)), ' *\\n *', chr(10), 'g'), '\\n+', chr(10), 'g') AS normal FROM benchmark",
-    "token_offsets": r"""SELECT item_id, CAST(token_no AS BIGINT) AS token_no, token, CAST("end" - length(token) AS BIGINT) AS start, "end" FROM (SELECT *, CAST(sum(length(token)) OVER (PARTITION BY item_id ORDER BY token_no) AS BIGINT) AS "end" FROM (SELECT item_id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS token_no FROM (SELECT item_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS t FROM benchmark)))""",
     "repeated_lines": f"SELECT doc_id, line, count(*) AS n, CAST(min(line_no) AS BIGINT) AS first_line FROM (SELECT doc_id, line_no, trim(line, ' ') AS line FROM {_LINES}) WHERE line <> '' AND NOT regexp_matches(line, '^[0-9. ]+$') AND len(regexp_split_to_array(line, ' +')) >= 2 GROUP BY doc_id, line HAVING count(*) >= 2 AND min(line_no) < 50",
     "majority_role": "SELECT conv_id, role, n FROM (SELECT conv_id, role, count(*) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY count(*) DESC, min(turn)) AS k FROM conversations GROUP BY conv_id, role) WHERE k = 1",
     "turn_runs": f"SELECT conv_id, CAST(run AS BIGINT) AS run, role, count(*) AS n_turns, min(turn) AS first_turn, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM {_RUNS} GROUP BY conv_id, run, role",
     "fill_both": "SELECT event_id, coalesce(last_value(b IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING), -1) AS last_bought, coalesce(first_value(b IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), -1) AS next_bought FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN event_id END AS b FROM events)",
-    "resume_anti": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
-    "pair_semi": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "begin_inside_tags": f"SELECT * FROM {_TAGS}",
     "tag_replace": f"SELECT conv_id, turn, CASE WHEN tag LIKE '%-system' THEN NULL WHEN tag LIKE '%-user' THEN left(tag, 2) || 'human' ELSE tag END AS tag FROM {_TAGS}",
-    "html_title": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) AS n_paragraphs FROM pages",
     "url_parts": "SELECT page_id, regexp_extract(url, '^(.*/)?([^/]*)$', 1) AS dir, regexp_extract(url, '^(.*/)?([^/]*)$', 2) AS name FROM pages",
     "longest_first": "SELECT item_id, string_agg(line, '|' ORDER BY length(line) DESC, pos) AS lines FROM (SELECT item_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM benchmark) GROUP BY item_id",
-    "identifiers": "SELECT * FROM (VALUES ('a', '10.1234/abc.5', '', ''), ('b', '', '12345', 'PMC987'), ('c', '10.12345/x/1', '', ''), ('d', '', '', ''), ('e', '', '7', 'pmc12')) AS t(ref, doi, pmid, pmcid)",
-    "required_check": "WITH t AS (SELECT item_id, left(regexp_replace(text, '[^ -~]', '', 'g'), 60) AS t FROM benchmark) SELECT item_id, round(ratio, 6) AS ratio, ratio >= 0.8 AS passed FROM (SELECT a.item_id, 1.0::DOUBLE - levenshtein(lower(a.t), lower(b.t))::DOUBLE / greatest(length(a.t), length(b.t)) AS ratio FROM t a JOIN t b ON b.item_id - 1 = a.item_id)",
 }

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.plans import annotation, catalog, passages
+from tagweave.plans import annotation, catalog, computed, passages
 
-_MODULES = (passages, catalog, annotation)
+_MODULES = (passages, catalog, annotation, computed)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

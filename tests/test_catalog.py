@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in "documents benchmark labels pages conversations events".split():
+    for t in "documents benchmark labels pages conversations events part supplier customer lineitem".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = registry.queries()[name](spark, SF)
     columns = sorted(df.columns)

@@ -26,7 +26,10 @@ def test_folds():
     assert run(["b-t", _, "b-t"]) == ["b-t", "i-t", "i-t"]
     assert run(["b-t", "i-t", _]) == ["b-t", "i-t", "i-t"] and run(["b-t", "i-t", _], e=frozenset()) == ["b-t", "i-t", _]
     assert run([_, "b-t", "i-t"]) == ["b-t", "i-t", "i-t"]
-    assert run(["b-t", _, _, "b-u", "i-u", "i-u"]) == ["b-t", "b-u", "i-u", "i-u", "i-u", "i-u"]
+    # the gap between two values stays
+    assert run(["b-t", _, _, "b-u", "i-u", "i-u"]) == ["b-t", _, _, "b-u", "i-u", "i-u"]
+    assert run(["t", _, "t"]) == ["t", "t", "t"] and run([_, "t", "t"]) == ["t", "t", "t"] and run(["b-t", "b-t"]) == ["b-t", "i-t"]
+    assert run([_, _, "b-t", "i-t"]) == [_, _, "b-t", "i-t"] and run([_, "b-t", "i-t"], e=frozenset()) == [_, "b-t", "i-t"]
     assert run(["b-t", _, "b-t"], m=frozenset()) == ["b-t", _, "b-t"]
     assert run([]) == []
 
