@@ -64,6 +64,35 @@ def table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """This name, with underscores added until no column has it (case ignored, as Spark does)."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+#: Rows of ids (some 32 bytes each) that may be broadcast so that texts aren't shuffled.
+BROADCAST_IDS = 1_000_000
+
+
+def beside(texts: DataFrame, ids: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join of texts with a written table of ids, broadcast if it has at most BROADCAST_IDS rows; with more, texts are shuffled once."""
+    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, share: int = 1000) -> DataFrame:
+    """Inner join on `key`, unique in `right`, whose column `rows` counts each key's rows in `left`.
+
+    Keys with over 1/share of all rows, of which there are fewer than `share`, are broadcast, so that
+    none of them lands in one task; the others are shuffled.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    hot = F.broadcast(right.filter(F.col(rows) > total / share))
+    cold = left.join(hot.select(key), key, "left_anti").join(right.filter(F.col(rows) <= total / share), key)
+    return left.join(hot, key).unionByName(cold)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows with about `limit` bytes of text each; a longer row stands alone."""
     for batch in batches:
