@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import slices
+from tagweave.llm.common import fresh, slices
 from tagweave.session import ship
 
 DIMS = 1 << 15
@@ -37,7 +37,7 @@ _SLICE = 1 << 18
 
 @lru_cache(1)
 def _letters() -> np.ndarray:
-    """Code point to lower-case letter (0 for what is no letter); above the BMP all count as letters."""
+    """Code point of the basic plane to lower-case letter (0 for what is no letter)."""
     out = np.zeros(1 << 16, np.uint32)
     for c in range(1 << 16):
         x = chr(c)
@@ -54,7 +54,12 @@ def _symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     size = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
     owner = np.repeat(np.arange(len(parts)), size)
     table = _letters()
-    symbols = np.where(codes < 1 << 16, table[np.minimum(codes, (1 << 16) - 1)], codes)
+    symbols = table[np.minimum(codes, (1 << 16) - 1)]
+    above = np.flatnonzero(codes >= 1 << 16)
+    if len(above):
+        found, at = np.unique(codes[above], return_inverse=True)
+        lower = [ord(x.lower()) if x.isalpha() and len(x.lower()) == 1 else ord(x) * x.isalpha() for x in map(chr, found.tolist())]
+        symbols[above] = np.array(lower, np.uint32)[at]
     return symbols.astype(np.uint32), np.append(owner, len(parts) - 1)
 
 
@@ -207,10 +212,14 @@ class Model:
 
 
 def fit(train: DataFrame) -> Model:
-    """train: doc_id, text, lang, of which rows with a null text or lang teach nothing."""
+    """train: doc_id, text, lang, of which rows with a null text or lang teach nothing.
+
+    Every lang value is learnt (the model holds a column of weights for each);
+    of languages with equal probability the first by code point is predicted.
+    """
     ship(train.sparkSession)
     train = train.filter("lang is not null and text is not null")
-    langs = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
+    langs = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(langs)
     if not names:
         return Model(np.ones(DIMS), np.zeros((DIMS + 1, 0)), [], 1.0)
@@ -231,7 +240,7 @@ def fit(train: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """docs and two more columns, in place of any of those names; only the text is read."""
-    where = [c for c in docs.columns if c not in names]
+    where = [c for c in docs.columns if c.lower() not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _SLICE):
@@ -261,5 +270,5 @@ def keep_known(docs: DataFrame, least: float = 0.3) -> DataFrame:
     reaches the probability `least`, which a text in a learnt language does.
     """
     model = fit(docs.select("doc_id", "text", "lang").filter(~held_out(4, 2)))
-    lang, score = (next(f"{c}{k}" for k in range(10**6) if f"{c}{k}" not in docs.columns) for c in ("lang_pred", "score"))
+    lang, score = (fresh(c, docs.columns) for c in ("lang_pred", "score"))
     return predict(docs, model, (lang, score)).filter((F.col(lang) != "und") & (F.col(score) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
