@@ -23,7 +23,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from functools import lru_cache
 from html import unescape
 
@@ -46,11 +46,46 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table td th div section article body html blockquote".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
+
+_OPEN = re.compile(r"<(?=[!?a-zA-Z/])")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_HIDES = re.compile(r"display\s*:\s*none", re.I)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 
 
+def _marks(html: str) -> Generator[tuple[int, int, str, str, str], int | None, None]:
+    """start, end, "/" of an end tag, name and attributes of each tag, in order; comments and declarations have no name.
+
+    The next one is looked for from the end that was last sent, if one was.
+    Every part of a page is read a fixed number of times: a tag that quotes keep
+    open to the end of the page ends at the next ">", and so do all after it.
+    """
+    at, last, quotes = 0, html.rfind(">"), True
+    while m := _OPEN.search(html, at):
+        start = m.start()
+        if html[start + 1] in "!?":
+            end = html.find("-->", start + 4) if html.startswith("<!--", start) else html.find(">", start)
+            at = len(html) if end < 0 else end + (3 if html.startswith("<!--", start) else 1)
+            at = (yield start, at, "", "", "") or at
+            continue
+        name = _NAME.match(html, start)
+        if start > last:
+            return
+        if not name:
+            at = start + 1
+            continue
+        end = _QUOTED.match(html, name.end()) if quotes else None
+        if end is None:
+            quotes = False
+            at = html.find(">", name.end()) + 1
+        else:
+            at = end.end()
+        at = (yield start, at, name[1], name[2].lower(), html[name.end() : at - 1]) or at
+
+
 class Block:
     __slots__ = ("path", "text", "linked", "names")
 
@@ -65,7 +100,8 @@ def blocks(html: str) -> list[Block]:
     names: list[str] = []
     parts: list[str] = []
     linked = 0
-    skip = 0  # open elements that hide their content
+    hides: list[bool] = []  # whether each open element hides its content
+    skip = 0
 
     def flush() -> None:
         nonlocal linked
@@ -77,25 +113,29 @@ def blocks(html: str) -> list[Block]:
 
     def close(depth: int) -> None:
         nonlocal skip
-        for t in tags[depth:]:
-            skip -= t in SKIPPED or t == "#hidden"
-        del tags[depth:], names[depth:]
+        skip -= sum(hides[depth:])
+        del tags[depth:], names[depth:], hides[depth:]
 
     at, n = 0, len(html)
+    marks = _marks(html)
+    resume = None
     while at < n:
-        m = _TAG.search(html, at)
-        piece = html[at : m.start()] if m else html[at:]
+        try:
+            start, end, slash, tag, attributes = marks.send(resume)
+        except StopIteration:
+            start, end, slash, tag, attributes = n, n, "", "", ""
+        resume = None
+        piece = html[at:start]
+        if piece and tags and tags[-1] == "head" and not piece.isspace():
+            close(len(tags) - 1)  # text stands in the body
         if piece and not skip:
             parts.append(piece)
             if "a" in tags:
                 linked += len(piece)
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or "").lower()
+        at = end
         if not tag:
             continue
-        if m[1]:
+        if slash:
             if tag in tags:
                 depth = len(tags) - 1 - tags[::-1].index(tag)
                 if tag in INLINE:
@@ -107,6 +147,8 @@ def blocks(html: str) -> list[Block]:
             elif tag not in INLINE:
                 flush()
             continue
+        if tags and tags[-1] == "head" and tag not in HEAD:
+            close(len(tags) - 1)
         if tag == "br":
             parts.append(" ")
             continue
@@ -121,19 +163,23 @@ def blocks(html: str) -> list[Block]:
                         break
                     if tags[depth] in SCOPE:
                         break
-        if tag in VOID or m[3].rstrip().endswith("/") and tag not in SKIPPED and tag in INLINE:
+        if tag in VOID or attributes.rstrip().endswith("/") and tag not in SKIPPED and tag in INLINE:
             continue
+        found = [(k.lower(), (a or b or c or "").lower()) for k, a, b, c in _ATTR.findall(attributes)] if attributes and not attributes.isspace() else []
         tags.append(tag)
-        names.append(" ".join(f"{k.lower()}={(a or b or c or '').lower()}" for k, a, b, c in _ATTR.findall(m[3])) if m[3] and not m[3].isspace() else "")
-        skip += tag in SKIPPED
+        names.append(" ".join(f"{k}={v}" for k, v in found))
+        hides.append(tag in SKIPPED or any(k == "hidden" or k == "style" and _HIDES.search(v) for k, v in found))
+        skip += hides[-1]
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-            if not skip and end:
-                parts.append(html[at : end.start()])
-            at = end.end() if end else n
-            if end:
+            raw = re.compile(rf"</{re.escape(tag)}\b", re.I).search(html, at)
+            close_at = html.find(">", raw.end()) + 1 if raw else 0
+            if not skip and raw:
+                parts.append(html[at : raw.start()])
+            at = close_at or n
+            if raw:
                 flush()
                 close(len(tags) - 1)
+            resume = at
     flush()
     return out
 
@@ -443,9 +489,9 @@ def main_texts(htmls: list[str | None], model: Labeller) -> list[str]:
 
 
 def extract(pages: DataFrame, html: str = "html", to: tuple[str, str] = ("text", "n_chars")) -> DataFrame:
-    """pages without the column html and with the main text and its length, in place of any columns of those names."""
+    """pages without the column html and with the main text and its length, in place of any columns of those names (in any case)."""
     model = labeller()
-    where = [c for c in pages.columns if c not in (html, *to)]
+    where = [c for c in pages.columns if c.lower() not in (html.lower(), *to)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, html, 1 << 20):

@@ -49,3 +49,20 @@ def test_extract(spark):
     for r in got:
         want = "Head\nOne two.\nThree & four." if r["url"] in ("u", "w") else ""
         assert (r["text"], r["n_chars"]) == (want, len(want))
+
+
+def test_head_hidden_and_long_pages():
+    import time
+
+    from tagweave.llm.html_extract import blocks
+
+    text = lambda html: [b.text for b in blocks(html)]
+    assert text("<html><head><title>x</title><body><p>text one two</p></body></html>") == ["text one two"]
+    assert text("<html><head><title>x</title>text one<p>two</p>") == ["text one", "two"]
+    assert text("<div hidden><p>away</p></div><p style='display: none'>away</p><p>here</p>") == ["here"]
+    assert text("<p>a<br>b &lt; c</p><!-- <p>no</p> --><p title='x>y'>d</p> 1 < 2") == ["a b < c", "d", "1 < 2"]
+    assert text("<script>if (a<b) '</p>'</script><textarea><p>x</textarea><p>y") == ["y"]
+    for page in ("<a " * 300_000, "<a \"" * 300_001 + ">", "<a '\">" * 200_000, "<!--" * 300_000, "</script " * 200_000, "<script></script " * 200_000):
+        began = time.time()
+        blocks(page)
+        assert time.time() - began < 5
