@@ -258,11 +258,13 @@ class Model:
 
 
 def fit(docs: DataFrame, known: DataFrame) -> Model:
-    """docs: doc_id, text; known: doc_id, toxic (0 or 1), a row a document.
+    """docs: doc_id, text; known: doc_id, toxic, a row a document.
 
+    Labels other than 0 and 1, and of documents that docs lacks, teach nothing.
     The sample is drawn from the labels, so texts are not shuffled: its ids are broadcast.
     """
     ship(docs.sparkSession)
+    known = known.filter("toxic in (0, 1)").join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     none = np.zeros(0, np.uint64), np.zeros(0)
     n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(n) < 2:
