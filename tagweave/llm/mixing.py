@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import table
+from tagweave.llm.common import fresh, table
 
 CEILING = 3.0
 LEVEL_BITS = 13
@@ -120,11 +120,11 @@ def take(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), ceiling: float
     """The documents that the mix takes, whole, with all columns, and `copies`: how often each is taken."""
     rows, _ = table(sized(docs), "sized")
     found, n = plan(rows, weights, ceiling)
-    name = next(f"copies{k or ''}" for k in range(10**6) if f"copies{k or ''}" not in docs.columns)
-    found = found.select(F.col("source").alias("_s"), F.col("whole").alias("_w"), F.col("theta").alias("_t"))
+    name, s, w, t = (fresh(c, docs.columns) for c in ("copies", "mix_source", "mix_whole", "mix_theta"))
+    found = found.select(F.col("source").alias(s), F.col("whole").alias(w), F.col("theta").alias(t))
     found = F.broadcast(found) if n <= BROADCAST_SOURCES else found
-    copies = (F.col("_w") + (hashed(F.col("doc_id")) < F.col("_t")).cast("long")).alias(name)
-    return docs.join(found, docs["source"].eqNullSafe(found["_s"])).select(*[docs[f"`{c}`"] for c in docs.columns], copies).filter(F.col(name) > 0)
+    copies = (F.col(w) + (hashed(F.col("doc_id")) < F.col(t)).cast("long")).alias(name)
+    return docs.join(found, docs["source"].eqNullSafe(found[s])).select(*[docs[f"`{c}`"] for c in docs.columns], copies).filter(F.col(name) > 0)
 
 
 ORACLE = r"""

@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import table
+from tagweave.llm.common import fresh, table
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -95,16 +95,17 @@ def candidates(docs: DataFrame, text: str = "text", to: tuple[str, str] = ("base
     """docs and two arrays of spans: the valid strict ones by kind and start, and the loose ones that touch none of them."""
     raw = docs
     names = []
+    rest = fresh("pii_rest", [*docs.columns, *to])
     for k, (kind, _, pattern, guard) in enumerate(PATTERNS):
-        names.append(f"__m{k}")
+        names.append(fresh(f"pii_matches{k}", [*docs.columns, *to]))
         raw = raw.withColumn(names[-1], _matches(kind, pattern, guard, f"coalesce(`{text}`, '')"))
     strict = [f"filter(coalesce({n}, {EMPTY}), x -> {_valid(kind, 'x.hit')})" for n, (kind, is_strict, *_) in zip(names, PATTERNS) if is_strict]
     loose = [f"coalesce({n}, {EMPTY})" for n, (_, is_strict, *_) in zip(names, PATTERNS) if not is_strict]
     card = names[next(k for k, p in enumerate(PATTERNS) if p[0] == "card")]
     failed = f"filter(coalesce({card}, {EMPTY}), x -> length({_digits('x.hit')}) between 13 and 19 and not ({_luhn(_digits('x.hit'))}))"
     kept = [c for c in docs.columns]
-    base = raw.select(*[F.col(f"`{c}`") for c in kept], F.expr(f"concat({', '.join(strict)})").alias(to[0]), F.expr(f"concat({', '.join(loose)}, {failed})").alias("__l"))
-    clear = f"if(size(__l) = 0, __l, filter(__l, x -> not exists({to[0]}, b -> b.start < x.end and x.start < b.end)))"
+    base = raw.select(*[F.col(f"`{c}`") for c in kept], F.expr(f"concat({', '.join(strict)})").alias(to[0]), F.expr(f"concat({', '.join(loose)}, {failed})").alias(rest))
+    clear = f"if(size({rest}) = 0, {rest}, filter({rest}, x -> not exists({to[0]}, b -> b.start < x.end and x.start < b.end)))"
     return base.select(*[F.col(f"`{c}`") for c in kept], to[0], F.expr(clear).alias(to[1]))
 
 
@@ -261,14 +262,15 @@ def find(docs: DataFrame, to: str = "pii") -> DataFrame:
     """docs and an array of all spans (kind, start, end, hit), by kind and start."""
     found, _ = table(candidates(docs.select("text")).select("base", "loose").filter("size(base) + size(loose) > 0"), "candidates")
     w = train(found)
-    both = candidates(docs, to=("__base", "__loose"))
-    spans = F.expr(f"transform({_by_kind(f'concat(__base, {_accepted("__loose", w)})')}, x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end, 'hit', x.hit))")
+    base, loose = (fresh(c, docs.columns) for c in ("pii_base", "pii_loose"))
+    both = candidates(docs, to=(base, loose))
+    spans = F.expr(f"transform({_by_kind(f'concat({base}, {_accepted(loose, w)})')}, x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end, 'hit', x.hit))")
     return both.select(*[F.col(f"`{c}`") for c in docs.columns], spans.alias(to))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with each span in `text` replaced by its kind in angle brackets (overlapping spans are one), and n_chars, if there, counted anew."""
-    name = next(f"pii{k}" for k in range(10**6) if f"pii{k}" not in docs.columns)
+    name = fresh("pii", docs.columns)
     found = find(docs, name)
     # spans by start; one that starts before the furthest end so far is part of what stands before it
     ordered = f"array_sort(transform({name}, x -> named_struct('start', x.start, 'end', x.end, 'kind', x.kind)))"
