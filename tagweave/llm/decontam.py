@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.llm.bytehash import Words
-from tagweave.llm.common import joined_bytes, slices, table
+from tagweave.llm.common import beside, fresh, joined_bytes, slices, table
 
 #: Bytes of text in a segment of the index.
 SEGMENT = 1 << 21
@@ -166,27 +166,17 @@ def _windows(benchmark: DataFrame, window: int) -> DataFrame:
     return benchmark.select("item_id", "text").filter("text is not null").mapInArrow(run, f"item_id {kind}, terms binary")
 
 
-def _blocks(benchmark: DataFrame, window: int, limit: int) -> Iterator[list[tuple]]:
-    """The windows in blocks of at most `limit`; a block is held by the driver at a time."""
-    cut, _ = table(_windows(benchmark, window).distinct(), "windows")
-    n = -(-cut.count() // limit)
-    if n <= 1:
-        yield [tuple(r) for r in cut.collect()]
-        return
-    n += n // 4 + 1  # hashing is uneven
+def _blocks(cut: DataFrame, limit: int) -> Iterator[list[bytes]]:
+    """The distinct windows' terms in blocks of about `limit`; a block is held by the driver at a time."""
+    terms = cut.select("terms").distinct()
+    n = -(-terms.count() // limit)
     for b in range(n):
-        rows = [tuple(r) for r in cut.filter(F.pmod(F.xxhash64("terms"), F.lit(n)) == b).collect()]
-        for a in range(0, len(rows), limit):
-            yield rows[a : a + limit]
-
-
-def _pass(index: DataFrame, rows: list[tuple], span: int | None) -> DataFrame:
-    """seg, place (of the document in it), starts, length and items: what each found window covers, a row for each document with hits."""
-    by_terms: dict[bytes, list] = {}
-    for item, terms in rows:
-        by_terms.setdefault(terms, []).append("" if item is None else str(item))
-    keys = list(by_terms)
-    items = [by_terms[k] for k in keys]
+        # distinct terms hash evenly, so a block holds about `limit` of them however many items share one
+        yield [r[0] for r in terms.filter(F.pmod(F.xxhash64("terms"), F.lit(n)) == b).collect()]
+
+
+def _pass(index: DataFrame, keys: list[bytes], span: int | None) -> DataFrame:
+    """seg, place (of the document in it), starts and sizes of what each found window covers, and found, their terms: a row for each document with hits."""
     flat = np.frombuffer(b"".join(keys), np.uint64)
     sizes = np.array([len(k) // 8 for k in keys], np.int64)
 
@@ -203,7 +193,7 @@ def _pass(index: DataFrame, rows: list[tuple], span: int | None) -> DataFrame:
                     found = seg.phrase(numbers) if span is None else seg.near(numbers, span)
                     for doc, at in zip((np.searchsorted(seg.first, found, side="right") - 1).tolist(), found.tolist()):
                         starts.setdefault(doc, []).append((at - int(seg.first[doc]), int(sizes[w]) if span is None else 1))
-                        names.setdefault(doc, set()).update(items[w])
+                        names.setdefault(doc, set()).add(keys[w])
                 docs = sorted(starts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -211,13 +201,13 @@ def _pass(index: DataFrame, rows: list[tuple], span: int | None) -> DataFrame:
                         pa.array(docs, pa.int32()),
                         pa.array([[s for s, _ in starts[d]] for d in docs], pa.list_(pa.int32())),
                         pa.array([[n for _, n in starts[d]] for d in docs], pa.list_(pa.int32())),
-                        pa.array([sorted(names[d]) for d in docs], pa.list_(pa.string())),
+                        pa.array([sorted(names[d]) for d in docs], pa.list_(pa.binary())),
                     ],
-                    names=["seg", "place", "starts", "sizes", "items"],
+                    names=["seg", "place", "starts", "sizes", "found"],
                 )
 
     needed = index.select("seg", "first", "n_words", "terms", "counts", "positions")
-    return needed.mapInArrow(run, "seg string, place int, starts array<int>, sizes array<int>, items array<string>")
+    return needed.mapInArrow(run, "seg string, place int, starts array<int>, sizes array<int>, found array<binary>")
 
 
 def search(index: DataFrame, benchmark: DataFrame, window: int = 10, span: int | None = None, block: int = BLOCK_WINDOWS) -> DataFrame:
@@ -228,7 +218,8 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = 10, span: int |
     its rarest one, in any order; n_hit counts those rarest words.
     """
     hits = None
-    for rows in _blocks(benchmark, window, block):
+    cut, _ = table(_windows(benchmark, window).distinct(), "windows")
+    for rows in _blocks(cut, block):
         if rows:
             one, _ = table(_pass(index, rows, span), "hits")
             hits = one if hits is None else hits.unionByName(one)
@@ -236,9 +227,11 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = 10, span: int |
     if hits is None:
         return every.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
     covered = F.size(F.array_distinct(F.flatten(F.transform(F.arrays_zip("starts", "sizes"), lambda x: F.sequence(x["starts"], x["starts"] + x["sizes"] - 1)))))
-    merged = hits.groupBy("seg", "place").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("sizes")).alias("sizes"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    merged = merged.select("seg", "place", covered.cast("long").alias("n_hit"), "items")
-    return every.join(merged, ["seg", "place"], "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    merged = hits.groupBy("seg", "place").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("sizes")).alias("sizes"))
+    merged = merged.select("seg", "place", covered.cast("long").alias("n_hit"))
+    named = hits.select("seg", "place", F.explode("found").alias("terms")).join(cut, "terms").select("seg", "place", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"))
+    named = named.groupBy("seg", "place").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return every.join(merged.join(named, ["seg", "place"]), ["seg", "place"], "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -250,12 +243,13 @@ def op2(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without any benchmark window, whole and with all columns.
 
-    Rows with a null doc_id are searched too and stay or go on their own: as
-    they can't be named by id they go when a null-id document is contaminated.
+    A row goes by its text alone (named by a hash of it), so rows that repeat a
+    doc_id, or have none, stay or go each on their own.
     """
-    found = search(build_index(docs), benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("bad_id")).distinct()
-    bad, _ = table(found, "bad")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    name = fresh("text_hash", docs.columns)
+    found = search(build_index(docs.select(F.xxhash64("text").alias("doc_id"), "text")), benchmark)
+    bad, _ = table(found.filter("n_hit > 0").select(F.col("doc_id").alias(name)).distinct(), "bad")
+    return beside(docs.withColumn(name, F.xxhash64("text")), bad, [name], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""
