@@ -162,11 +162,13 @@ OUT = "query_id long, vec_id long, score double, leaf int"
 #: Leaves (neighbours in the tree) whose rows one group of a search holds; scores and exact pairs held at once.
 GROUP_LEAVES = 32
 SCORES = 2_000_000
+#: Queries that one task of a group holds, about.
+QUERY_ROWS = 50_000
 PAIRS = 50_000
 
 
 def _search_groups(pairs: DataFrame, k: int) -> DataFrame:
-    """pairs: grp, block, vec_id, v, leaf (of rows of the index) or leaves (that a query visits); the k best of each query in each group."""
+    """pairs: grp, block, part, vec_id, v, leaf (of rows of the index) or leaves (that a query visits); the k best of each query in each group."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         is_query = pdf["leaf"].isna().to_numpy()
@@ -174,15 +176,23 @@ def _search_groups(pairs: DataFrame, k: int) -> DataFrame:
         got = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))]
         if not q.empty and not x.empty:
             qid, qv, ids, mat = q["vec_id"].to_numpy(), _matrix(q["v"]), x["vec_id"].to_numpy(), _matrix(x["v"])
-            qu, unit = _unit(qv), _unit(mat)
             leaf = x["leaf"].to_numpy().astype(np.int32)
+            order = np.argsort(leaf, kind="stable")
+            ids, mat, leaf = ids[order], mat[order], leaf[order]
+            qu, unit = _unit(qv), _unit(mat)
+            starts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
+            pieces = list(zip(leaf[starts] % GROUP_LEAVES, starts, np.append(starts[1:], len(leaf))))
             visited = np.zeros((len(q), GROUP_LEAVES), bool)
             visited[np.repeat(np.arange(len(q)), q["leaves"].map(len)), np.concatenate(q["leaves"].to_list()) % GROUP_LEAVES] = True
             step = max(1, SCORES // len(x))
             for a in range(0, len(q), step):
                 some = slice(a, a + step)
-                fast = qu[some] @ unit.T
-                fast[~visited[some][:, leaf % GROUP_LEAVES] | (qid[some, None] == ids)] = -np.inf
+                # only leaves that a query visits are scored for it
+                fast = np.full((len(qu[some]), len(x)), -np.inf)
+                for f, lo, hi in pieces:
+                    here = np.flatnonzero(visited[some, f])
+                    fast[here, lo:hi] = qu[some][here] @ unit[lo:hi].T
+                fast[qid[some, None] == ids] = -np.inf
                 # fast scores are good to 1e-9: all within that of the k-th are scored exactly
                 least = np.partition(fast, len(x) - k, axis=1)[:, len(x) - k] if len(x) > k else np.full(len(fast), -np.inf)
                 at, row = np.nonzero((fast >= least[:, None] - 1e-9) & (fast > -np.inf))
@@ -193,7 +203,7 @@ def _search_groups(pairs: DataFrame, k: int) -> DataFrame:
                 got.append((qid[a + at[best]], ids[row[best]], score[best], leaf[row[best]]))
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", "leaf"), map(np.concatenate, zip(*got)))))
 
-    return pairs.groupBy("grp", "block").applyInPandas(run, OUT)
+    return pairs.groupBy("grp", "block", "part").applyInPandas(run, OUT)
 
 
 def exhaustive(index: DataFrame, queries: list[tuple[int, list[float]]], k: int) -> DataFrame:
@@ -286,8 +296,13 @@ class Index:
                 )
 
         visits = queries.filter(F.size("v") == self.dims).select("vec_id", "v").mapInArrow(walk, "vec_id long, v array<double>, grp int, block int, leaves array<int>")
+        visits, _ = table(visits, "visits")
+        # queries of a group are cut too, so that a task holds about QUERY_ROWS of them; its rows then go to each part
+        parts, _ = table(visits.groupBy("grp", "block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts")), "parts")
         rows = self.rows.select("vec_id", "v", F.floor(F.col("leaf") / GROUP_LEAVES).cast("int").alias("grp"), "block", F.lit(None).cast("array<int>").alias("leaves"), "leaf")
-        both = rows.unionByName(visits.withColumn("leaf", F.lit(None).cast("int")))
+        rows = rows.join(parts, ["grp", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        asked = visits.join(parts, ["grp", "block"]).withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("parts")).cast("int")).drop("parts")
+        both = rows.unionByName(asked.withColumn("leaf", F.lit(None).cast("int")))
         return _top(_search_groups(both, k), k).select("query_id", "rank", "vec_id", "score")
 
     def calibrate(self, queries: DataFrame, k: int, goal: float = GOAL) -> int:
