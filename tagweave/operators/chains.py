@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -45,9 +46,14 @@ def match(tokens: DataFrame, targets: DataFrame, key: str, options: MatchOptions
     text = placed.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "__text"))), lambda x: x["__text"]), "").alias("text"))
     spelt = {k: v for o in options.tags.values() for k, v in o.spellings.items()}
     spans = M.fuzzy_spans(text, targets.select(key, "field", "ordinal", "values"), key, threshold=options.threshold, spellings=spelt)
+    prefixes = {f: o.match_prefix for f, o in options.tags.items() if o.match_prefix}
+    if prefixes:
+        spans = M.with_prefixes(spans, text, targets, key, prefixes)
     solid = placed.filter(F.trim("token") != "").select(key, F.col("at").alias("token_no"), "start", "end")
-    tags = M.tag_tokens(solid, spans, key).select(key, F.col("token_no").alias("at"), F.col("tag").alias("__tag"))
-    tagged = tokens.join(tags, [key, "at"], "left").withColumn("tag", F.coalesce("tag", "__tag")).drop("__tag")
+    new = lambda found, to: M.tag_tokens(solid, found, key).select(key, F.col("token_no").alias("at"), F.col("tag").alias(to))
+    tagged = tokens.join(new(spans, "__tag"), [key, "at"], "left").withColumn("tag", F.coalesce("tag", "__tag")).drop("__tag")
+    if options.sub_annotations:
+        tagged = tagged.drop("sub_tag").join(new(M.sub_spans(spans, text, targets, key, options.threshold), "sub_tag"), [key, "at"], "left")
     if not options.extend_to_line:
         return tagged
     merge, extend = [n for n, o in options.tags.items() if o.merge], [n for n, o in options.tags.items() if o.extend_to_line]
@@ -55,6 +61,17 @@ def match(tokens: DataFrame, targets: DataFrame, key: str, options: MatchOptions
     return tagged.drop("tag").join(filled.select(key, "line_no", "token_no", "tag"), [key, "line_no", "token_no"], "left")
 
 
+def sub_tags(targets: DataFrame, key: str, options: MatchOptions) -> Step:
+    """Sub tags only: tokens' tags are hidden from the matcher and put back; no tag is written."""
+
+    def run(t: DataFrame) -> DataFrame:
+        hidden = t.withColumn("__old", F.col("tag")).withColumn("tag", F.lit(None).cast("string"))
+        only = replace(options, sub_annotations=True, extend_to_line=False)
+        return match(hidden, targets, key, only).withColumn("tag", F.col("__old")).drop("__old")
+
+    return run
+
+
 def annotator(targets: DataFrame, key: str, options: MatchOptions) -> Step:
     """The usual steps: line numbers, if asked for, then the matcher."""
     return compose(lambda t: number_lines(t, key, options), lambda t: match(t, targets, key, options))

@@ -123,6 +123,62 @@ def fuzzy_spans(docs: DataFrame, targets: DataFrame, key: str, text: str = "text
     return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(run, f"{key} {kind}, {SPANS}")
 
 
+def _beside_text(spans: DataFrame, docs: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """spans with the text before and in each, and its target's sub values."""
+    subs = targets.select(key, "ordinal", "sub").dropDuplicates([key, "ordinal"])
+    text = docs.select(key, F.col("text").alias("__text"))
+    start, end = F.col("start").cast("int"), F.col("end").cast("int")
+    joined = spans.join(text, key).join(subs, [key, "ordinal"], "left")
+    return joined.withColumns({"__before": F.col("__text").substr(F.lit(1), start), "__in": F.col("__text").substr(start + 1, end - start)}).drop("__text")
+
+
+def with_prefixes(spans: DataFrame, docs: DataFrame, targets: DataFrame, key: str, patterns: dict[str, str]) -> DataFrame:
+    """spans that take in what their field's pattern finds in the text before them, from there on; {sub-field} in a pattern stands for the target's sub value."""
+    ship(spans.sparkSession)
+
+    @F.pandas_udf("bigint")
+    def begin(field: pd.Series, before: pd.Series, start: pd.Series, sub: pd.Series) -> pd.Series:
+        import re
+
+        from tagweave.functions.settings import match_prefix
+
+        def one(name: str, text: str, at: int, subs) -> int:
+            if not text or name not in patterns:
+                return at
+            values = {x["field"]: x["values"][0] for x in ([] if subs is None else subs) if len(x["values"]) == 1}
+            m = re.search(match_prefix(patterns[name], values), text)
+            return m.start() if m else at
+
+        return pd.Series([one(*x) for x in zip(field, before, start, sub)])
+
+    return _beside_text(spans, docs, targets, key).withColumn("start", begin("field", "__before", "start", "sub")).select(*spans.columns)
+
+
+def sub_spans(spans: DataFrame, docs: DataFrame, targets: DataFrame, key: str, threshold: float = THRESHOLD) -> DataFrame:
+    """key and SPANS of sub values within their targets' spans: in their order, each at its first place that no sub value before it has taken."""
+    ship(spans.sparkSession)
+
+    @F.pandas_udf("array<struct<field:string,start:bigint,end:bigint>>")
+    def within(text: pd.Series, sub: pd.Series) -> pd.Series:
+        def one(t: str, subs) -> list[dict]:
+            taken: list[tuple[int, int]] = []
+            out = []
+            for x in [] if subs is None else subs:
+                if len(x["values"]) != 1:
+                    raise ValueError("a sub annotation has one value")
+                for a, b in find_all(_same_length(t), x["values"][0].lower(), threshold):
+                    if all(b <= s or e <= a for s, e in taken):
+                        taken.append((a, b))
+                        out.append({"field": x["field"], "start": a, "end": b})
+                        break
+            return out
+
+        return pd.Series([one(*x) for x in zip(text, sub)])
+
+    found = _beside_text(spans, docs, targets, key).select(key, "ordinal", "part", "start", F.explode(within("__in", "sub")).alias("s"))
+    return found.select(key, "s.field", "ordinal", "part", (F.col("start") + F.col("s.start")).alias("start"), (F.col("start") + F.col("s.end")).alias("end"))
+
+
 def all_spans(docs: DataFrame, values: list[str], key: str, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Every place of each of a few values in every document."""
     ship(docs.sparkSession)

@@ -75,9 +75,9 @@ def merged_sections(spark, sf_dir):
 
 
 def segmented_lines(spark, sf_dir):
-    """Lines by document and final section."""
-    lines = _lines(spark, sf_dir).withColumn("has_page", F.lit(False))
-    return G.segment(lines, "doc_id", front_limit=10).groupBy("doc_id", "section").agg(F.count(F.lit(1)).alias("n"))
+    """Lines by document and final section; every seventh line held a page number before."""
+    lines = _lines(spark, sf_dir).withColumn("has_page", F.col("line_no") % 7 == 6)
+    return G.segment(lines, "doc_id", front_limit=10, preserve=True).groupBy("doc_id", "section").agg(F.count(F.lit(1)).alias("n"))
 
 
 def late_front(spark, sf_dir):

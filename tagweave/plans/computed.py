@@ -278,6 +278,20 @@ def annotated_headers(spark, sf_dir):
     return chains.run(docs, articles, "s_suppkey", "xml", sections, MatchOptions(), "front", required=("who",), matching=("who", "what"))
 
 
+def sub_annotations(spark, sf_dir):
+    """Customers' names found in their texts with the word before (a prefix pattern), and the number in the name as a sub value."""
+    text = F.concat(F.lit("Bought by client no. "), F.col("c_custkey").cast("string"), F.lit(" "), F.col("c_name"), F.lit(" in the market of "), F.col("c_mktsegment"))
+    number = F.substring_index("c_name", "#", -1)
+    rows = _read(spark, sf_dir, "customer").select("c_custkey", text.alias("text"), "c_name", number.alias("number"))
+    sub = F.array(F.struct(F.lit("number").alias("field"), F.array("number").alias("values")))
+    targets = rows.select("c_custkey", F.lit("name").alias("field"), F.lit(0).alias("ordinal"), F.array("c_name").alias("values"), sub.alias("sub"))
+    spans = M.fuzzy_spans(rows, targets, "c_custkey")
+    whole = M.with_prefixes(spans, rows, targets, "c_custkey", {"name": r"client no\. \d+ $"})
+    subs = M.sub_spans(spans, rows, targets, "c_custkey")
+    both = whole.unionByName(subs).join(rows.select("c_custkey", "text"), "c_custkey")
+    return both.select("c_custkey", "field", F.col("text").substr((F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("found"))
+
+
 def section_checks(spark, sf_dir):
     """Whether each part's brand and type are found in the section that holds its texts."""
     parts = _read(spark, sf_dir, "part")
@@ -291,7 +305,7 @@ QUERIES = {
     for f in (
         tags_merged, tags_merged_inner, page_numbers, line_numbers, path_steps, markup_repaired, markup_written, reference_tags, line_tags, references_fixed, references_changed, identifier_kinds, list_specs,
         required_fields, required_check, token_offsets, resume_anti, pair_semi, html_title, untagged_stretches, next_turns, documents_merged, tag_counts, matches_accepted, matches_bonded, matches_confirmed,
-        junk_removed, word_edges, layout_texts, target_values, annotated_headers, section_checks,
+        junk_removed, word_edges, layout_texts, target_values, annotated_headers, sub_annotations, section_checks,
     )
 }
 
@@ -364,5 +378,6 @@ SELECT conv_id, turn, coalesce(string_agg(ch, '' ORDER BY k) FILTER (NOT (coales
     "layout_texts": r"""SELECT s_nationkey, string_agg(b, chr(10) ORDER BY s_suppkey) || chr(10) || chr(10) || min_by(b, s_suppkey) || chr(10) AS text FROM (SELECT *, 'name ' || s_name || chr(10) || s_suppkey || chr(10) AS b FROM supplier) GROUP BY s_nationkey""",
     "target_values": "SELECT c_custkey, CAST(k AS INTEGER) AS ordinal, CASE k WHEN 0 THEN 'segment' ELSE 'name' END AS field, CASE k WHEN 0 THEN c_mktsegment ELSE c_name END AS value FROM customer, range(2) t(k)",
     "annotated_headers": """SELECT s_suppkey, '<tei><text>This long report was made by <note type="who">' || s_name || '</note><lb/>in area ' || s_nationkey || ' <note type="what">of the world</note></text></tei>' AS xml, TRUE AS passed FROM supplier""",
+    "sub_annotations": "SELECT c_custkey, CASE k WHEN 0 THEN 'name' ELSE 'number' END AS field, CASE k WHEN 0 THEN 'client no. ' || c_custkey || ' ' || c_name ELSE string_split(c_name, '#')[-1] END AS found FROM customer, range(2) t(k)",
     "section_checks": "SELECT p_partkey, p_size <= 25 AS passed FROM part",
 }

@@ -16,7 +16,7 @@ def exact_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     An item's tokens between its first and last blank stand in any document
     that holds the item, between blanks too.  The longest of them is the join key;
-    items without such a token are few and compared with every document.
+    items without such a token are compared with every document, in blocks.
     """
     parts = items.filter("length(text) > 0").select("item_id", F.col("text").alias("item"), F.split("text", " ").alias("w"))
     inner = F.expr("if(size(w) > 2, slice(w, 2, size(w) - 2), array())")
@@ -28,8 +28,14 @@ def exact_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
     joined = tokens.join(hint(keyed.filter("key <> ''")), "key")
     if not small:
         joined = joined.join(docs.select("doc_id", "text"), "doc_id")
-    rest = docs.select("doc_id", "text").join(F.broadcast(keyed.filter("key = ''")), F.expr("contains(text, item)"))
-    both = joined.select("doc_id", "item_id", "text", "item").unionByName(rest.select("doc_id", "item_id", "text", "item"))
+    both = joined.select("doc_id", "item_id", "text", "item")
+    short = keyed.filter("key = ''")
+    if n_short := short.count():
+        # a stated set of short items against all rows: blocks of bounded size are broadcast one by one
+        for b in range(-(-n_short // BROADCAST_ITEMS)):
+            block = short.filter(F.pmod(F.xxhash64("item_id"), F.lit(-(-n_short // BROADCAST_ITEMS))) == b)
+            rest = docs.select("doc_id", "text").join(F.broadcast(block), F.expr("contains(text, item)"))
+            both = both.unionByName(rest.select("doc_id", "item_id", "text", "item"))
     start = F.instr(F.col("text"), F.col("item")) - 1
     return both.withColumn("start", start.cast("long")).filter("start >= 0").select("doc_id", "item_id", "start", (F.col("start") + F.length("item")).alias("end"))
 
