@@ -93,10 +93,11 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, share: int
     return left.join(hot, key).unionByName(cold)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into runs of rows with about `limit` bytes of text each; a longer row stands alone."""
+def slices(batches: Iterator[pa.RecordBatch], column: str | list[str], limit: int) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into runs of rows with about `limit` bytes of text each, in this column or these together; a longer row stands alone."""
+    columns = [column] if isinstance(column, str) else column
     for batch in batches:
-        size = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+        size = sum(np.asarray(pa.compute.binary_length(batch.column(c)).fill_null(0), dtype=np.int64) for c in columns)
         ends = np.cumsum(size + 16)
         start = 0
         while start < batch.num_rows:

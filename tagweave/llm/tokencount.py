@@ -13,7 +13,7 @@ it and ships its bytes (under MAX_VOCABULARY) to the tasks.
 
 Cases: null and empty texts have no tokens and no sections; texts are taken
 whole whatever their length; repeated rows and null doc_ids each give their row;
-an empty table gives an empty result.
+an empty table gives an empty result; columns that aren't asked for are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import slices
+from tagweave.llm.common import fresh, slices
 from tagweave.session import ship
 
 RULES = ("start", "majority", "split")
@@ -97,13 +97,14 @@ def count(docs: DataFrame, fields: list[str] | None = None, rule: str = "majorit
     if len(data) > MAX_VOCABULARY:
         raise ValueError("the vocabulary is too large to ship")
     texts = ["text"] if fields is None else fields
-    whole = docs.select(*keys, *[F.col(f"`{t}`").alias(f"__t{i}") for i, t in enumerate(texts)])
+    names = [fresh(f"field{i}", keys) for i in range(len(texts))]
+    whole = docs.select(*keys, *[F.col(f"`{t}`").alias(n) for t, n in zip(texts, names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, size = encoder(data)
-        for batch in slices(batches, "__t0", 1 << 21):
+        for batch in slices(batches, names, 1 << 21):
             out: list[tuple] = []
-            for row in zip(*[batch.column(f"__t{i}").to_pylist() for i in range(len(texts))]):
+            for row in zip(*[batch.column(n).to_pylist() for n in names]):
                 if fields is None:
                     text = row[0] or ""
                     bounds = lines(text.encode())
