@@ -45,7 +45,7 @@ def match(tokens: DataFrame, targets: DataFrame, key: str, options: MatchOptions
     placed = S.offsets(free.withColumn("__text", F.concat("token", F.when(ends_line, "\n").otherwise(""))), key, "at", "__text")
     text = placed.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "__text"))), lambda x: x["__text"]), "").alias("text"))
     spelt = {k: v for o in options.tags.values() for k, v in o.spellings.items()}
-    spans = M.fuzzy_spans(text, targets.select(key, "field", "ordinal", "values"), key, threshold=options.threshold, spellings=spelt)
+    spans = M.fuzzy_spans(text, targets.select(key, "field", "ordinal", "values"), key, threshold=options.threshold, spellings=spelt, lines=options.lookahead_lines)
     prefixes = {f: o.match_prefix for f, o in options.tags.items() if o.match_prefix}
     if prefixes:
         spans = M.with_prefixes(spans, text, targets, key, prefixes)

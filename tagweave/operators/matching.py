@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -46,15 +48,22 @@ class Matcher:
     """Spans of one document's targets, in their order.
 
     A target is looked for in the text that no other has taken, within `window`
-    characters (0: all) from where the last match of another field ended; if
+    characters or `lines` lines (0: all) from where the last match of another field ended; if
     it isn't there and its field is another than the last one's, in the whole
     text, and the window moves to it.  What isn't found is tried again until a
     pass finds nothing new.
     """
 
-    def __init__(self, text: str, threshold: float = THRESHOLD, window: int = 0, spellings: dict[str, list[str]] | None = None) -> None:
+    def __init__(self, text: str, threshold: float = THRESHOLD, window: int = 0, spellings: dict[str, list[str]] | None = None, lines: int = 0) -> None:
         self.text, self.threshold, self.window, self.spellings = _same_length(text), threshold, window, spellings or {}
         self.taken: list[tuple[int, int]] = []
+        self.lines, self.ends = lines, [i + 1 for i, c in enumerate(text) if c == "\n"] if lines else []
+
+    def reach(self, at: int) -> int:
+        """Where the part of the text ends in which a target is looked for first."""
+        end = min(len(self.text), at + self.window) if self.window else len(self.text)
+        k = bisect_right(self.ends, at) + self.lines - 1
+        return min(end, self.ends[k]) if self.lines and k < len(self.ends) else end
 
     def free(self, start: int, end: int) -> list[tuple[int, int]]:
         out = []
@@ -81,7 +90,7 @@ class Matcher:
         while todo:
             missed = []
             for field, ordinal, values in todo:
-                end = min(len(self.text), at + self.window) if self.window else len(self.text)
+                end = self.reach(at)
                 got = self.one(values, at, end)
                 if not got and field != last and (at or end < len(self.text)):
                     got = self.one(values, 0, len(self.text))
@@ -100,19 +109,20 @@ class Matcher:
         return out
 
 
-def fuzzy_spans(docs: DataFrame, targets: DataFrame, key: str, text: str = "text", threshold: float = THRESHOLD, window: int = 0, spellings: dict[str, list[str]] | None = None) -> DataFrame:
+def fuzzy_spans(docs: DataFrame, targets: DataFrame, key: str, text: str = "text", threshold: float = THRESHOLD, window: int = 0, spellings: dict[str, list[str]] | None = None, lines: int = 0) -> DataFrame:
     """key and SPANS: where each document's targets (key, field, ordinal, values) stand; code points, end exclusive.
 
     Documents and their targets meet by key: what a task holds is one document
-    and its own targets.  Null texts and empty values have no spans.
+    and its own targets; of a key that several rows have each is searched.  Null texts and empty values have no spans.
     """
     ship(docs.sparkSession)
 
     def run(d: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        if len(d) and len(t) and d[text].iloc[0]:
+        if len(d) and len(t):
             asked = [(f, int(o), [x for x in v if x]) for f, o, v in sorted(zip(t["field"], t["ordinal"], t["values"]), key=lambda x: x[1])]
-            rows = Matcher(d[text].iloc[0], threshold, window, spellings).run([x for x in asked if x[2]])
+            for one in d[text]:
+                rows += Matcher(one, threshold, window, spellings, lines).run([x for x in asked if x[2]]) if one else []
         out = pd.DataFrame(rows, columns=["field", "ordinal", "part", "start", "end"])
         out.insert(0, key, d[key].iloc[0] if len(d) else None)
         return out.astype({"ordinal": "int32", "part": "int32", "start": "int64", "end": "int64"})
