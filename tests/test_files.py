@@ -55,3 +55,14 @@ def test_incremental(spark, tmp_path):
     (tmp_path / "in/b.txt").write_text("bb")
     assert run() and run()
     assert sorted(r["n"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [2, 3]
+
+
+def test_encodings_and_copies(spark, tmp_path):
+    raw = spark.createDataFrame([(1, "<?xml version='1.0' encoding='iso-8859-1'?>\n<a>é</a>".encode("latin-1")), (2, "<b>é</b>".encode())], "id int, raw binary")
+    got = raw.select("id", S.declared_encoding(F.col("raw")).alias("e"))
+    assert [r["e"] for r in got.orderBy("id").collect()] == ["ISO-8859-1", "UTF-8"]
+    out = got.select("id", S.with_declaration(F.lit("<a>é</a>"), F.col("e")).alias("x")).orderBy("id").collect()
+    assert bytes(out[0]["x"]) == "<?xml version='1.0' encoding='ISO-8859-1'?>\n<a>é</a>".encode("latin-1") and bytes(out[1]["x"]).endswith("<a>é</a>".encode())
+    (tmp_path / "one.gz").write_bytes(b"x" * 9_000_000)
+    done = S.copy_files(spark.createDataFrame([(f"{tmp_path}/one.gz", f"{tmp_path}/to/two.gz")], "source string, target string")).collect()
+    assert done[0]["n_bytes"] == 9_000_000 and (tmp_path / "to/two.gz").read_bytes() == b"x" * 9_000_000
