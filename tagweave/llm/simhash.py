@@ -4,7 +4,7 @@ Two fingerprints differ in at most r bits exactly when some 64-bit value lies
 within r/2 bits of both.  So every distinct fingerprint emits the values within
 r/2 bits (its variants), and fingerprints that share a variant are linked: both
 lie within r/2 of it, hence within r of each other, so a shared variant is its
-own verification and a star from its smallest fingerprint keeps every link's
+own verification (colliding pairs are not compared once more) and a star from its smallest fingerprint keeps every link's
 connectivity without emitting pairs.
 
 What is shuffled is not the 2,081 variants themselves but the distinct leading
@@ -15,8 +15,9 @@ distinct fingerprints so that a prefix keeps a bounded share.
 
 Cases: null, empty and blank texts have fingerprint zero and link to each other
 (and to any fingerprint within r bits of zero); repeated texts share one
-fingerprint and are reduced before variants are made; an empty table gives an
-empty result.  Extra columns are ignored.
+fingerprint and are reduced before variants are made; rows with a null doc_id
+get their component's smallest doc_id (null if none of its rows has one); an
+empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,15 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import components, slices, table
+from tagweave.llm.common import components, hot_join, slices, table
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Variants that a task holds at once (8 bytes each, and a sorted copy).
 BLOCK_VARIANTS = 4_000_000
 #: Fingerprint rows aimed at under one prefix.
 ROWS_A_PREFIX = 50_000
-#: Pairs that a task holds at once.
-BLOCK_PAIRS = 1_000_000
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -45,28 +44,33 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(_fingerprints([text], words)[0])
 
 
-def _fingerprints(texts: list[str | None], words: int) -> np.ndarray:
+def word_bytes(text: str | None) -> list[bytes]:
+    """The words of a text, A-Z lower-cased, as UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+
+
+def shingles(parts: list[bytes], words: int) -> np.ndarray:
+    """XXH64 (seed 42) of every shingle, repeats included; of fewer words, of the whole sequence."""
     from xxhash import xxh64_intdigest
 
+    if not parts:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(parts)
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    ends = np.cumsum(size + 1) - 1
+    n = max(1, len(parts) - words + 1)
+    starts, stops = (ends - size)[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
+    return np.fromiter((xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts, stops)), np.uint64, n)
+
+
+def _fingerprints(texts: list[str | None], words: int) -> np.ndarray:
     out = np.zeros(len(texts), np.uint64)
     for row, text in enumerate(texts):
-        parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-        if not parts:
-            continue
-        n = len(parts) - words + 1
-        if n <= 1:
-            out[row] = xxh64_intdigest(b" ".join(parts), 42)
-            continue
-        joined = b" ".join(parts)
-        size = np.fromiter(map(len, parts), np.int64, len(parts))
-        ends = np.cumsum(size + 1) - 1
-        starts = (ends - size)[:n].tolist()
+        h = shingles(word_bytes(text), words)
         counts = np.zeros(64, np.int64)
-        stops = ends[words - 1 :].tolist()
-        for a in range(0, n, 8192):
-            h = np.array([xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts[a : a + 8192], stops[a : a + 8192])], np.uint64)
-            counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[row] = np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0]
+        for a in range(0, len(h), 8192):
+            counts += np.unpackbits(h[a : a + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out[row] = np.packbits(2 * counts > len(h), bitorder="little").view(np.uint64)[0]
     return out
 
 
@@ -82,20 +86,20 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
 
 
-def _masks(bits: list[int], radius: int) -> np.ndarray:
+def masks(bits: list[int], radius: int) -> np.ndarray:
     """XOR masks that flip up to `radius` of these bits."""
     return np.array([sum(1 << b for b in c) for k in range(radius + 1) for c in combinations(bits, k)], np.uint64)
 
 
-def prefix_bits(n: int, half: int) -> int:
-    """The least prefix (a multiple of 4) that leaves about ROWS_A_PREFIX rows under each."""
-    for p in range(8, 61, 4):
-        if n * len(_masks(list(range(p)), half)) / 2**p <= ROWS_A_PREFIX:
+def prefix_bits(n: int, half: int, rows: int, least: int = 4) -> int:
+    """The least prefix (a multiple of 4, from `least`) that leaves at most about `rows` rows under each."""
+    for p in range(least, 61, 4):
+        if n * len(masks(list(range(p)), half)) / 2**p <= rows:
             return p
     return 60
 
 
-def _shared(fps: np.ndarray, prefix: int, key: int, half: int, floor: int = 0, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def shared(fps: np.ndarray, prefix: int, key: int, half: int, floor: int = 0, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Group and row (of fps; bits from `floor` up) of each variant under the prefix `key` that several rows hold, in blocks of bounded size."""
     rows = np.arange(len(fps)) if rows is None else rows
     if len(rows) < 2:
@@ -103,19 +107,19 @@ def _shared(fps: np.ndarray, prefix: int, key: int, half: int, floor: int = 0, r
     shift, some = np.uint64(64 - prefix), fps[rows]
     off = np.bitwise_count((some >> shift) ^ np.uint64(key))
     low = list(range(floor, 64 - prefix))
-    per = [len(_masks(low, half - d)) if d <= half else 0 for d in range(half + 1)]
+    per = [len(masks(low, half - d)) if d <= half else 0 for d in range(half + 1)]
     total = sum(int((off == d).sum()) * per[d] for d in range(half + 1))
     if total > BLOCK_VARIANTS and prefix <= 60 - floor:
         for sub in range(16):
             near = np.bitwise_count((some >> np.uint64(60 - prefix)) ^ np.uint64((key << 4) | sub)) <= half
-            yield from _shared(fps, prefix + 4, (key << 4) | sub, half, floor, rows[near])
+            yield from shared(fps, prefix + 4, (key << 4) | sub, half, floor, rows[near])
         return
     under = (np.uint64(key) << shift) | (some & ((np.uint64(1) << shift) - np.uint64(1)))
     values, owners = [], []
     for d in range(half + 1):
         at = np.flatnonzero(off == d)
         if len(at):
-            values.append((under[at, None] ^ _masks(low, half - d)).ravel())
+            values.append((under[at, None] ^ masks(low, half - d)).ravel())
             owners.append(np.repeat(rows[at], per[d]))
     if not values:
         return
@@ -131,115 +135,36 @@ def _shared(fps: np.ndarray, prefix: int, key: int, half: int, floor: int = 0, r
     yield at[hit], owner[hit]
 
 
-def _links(fps: np.ndarray, prefix: int, key: int, half: int, u: list[np.ndarray], v: list[np.ndarray], floor: int = 0, chain: bool = False) -> None:
-    """Append star links between fingerprints (bits from `floor` up) that share a variant under the prefix `key`.
-
-    With `chain`, links between neighbours too, and a loop for each fingerprint
-    of a variant that more than three share, whose pairs these are not all.
-    """
-    for group, row in _shared(fps, prefix, key, half, floor):
+def _links(fps: np.ndarray, prefix: int, key: int, half: int) -> np.ndarray:
+    """Star links (smallest fingerprint, member) between fingerprints that share a variant under the prefix `key`."""
+    found = []
+    for group, row in shared(fps, prefix, key, half):
         member = fps[row].view(np.int64)
         first = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(first, group, member)
-        pairs = np.stack([first[group], member], 1)
-        crowd = member[np.bincount(group)[group] > 3]
-        if chain:
-            order = np.lexsort((member, group))
-            group, member = group[order], member[order]
-            next_ = group[1:] == group[:-1]
-            pairs = np.concatenate([pairs, np.stack([member[:-1][next_], member[1:][next_]], 1)])
-        pairs = np.unique(pairs, axis=0)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        if chain and len(crowd):
-            crowd = np.unique(crowd)
-            pairs = np.concatenate([pairs, np.stack([crowd, crowd], 1)])
-        u.append(pairs[:, 0])
-        v.append(pairs[:, 1])
-
-
-def _all_pairs(group: np.ndarray, root: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Every two rows of one group whose roots differ, about BLOCK_PAIRS at a time."""
-    order = np.lexsort((root[row], group))
-    group, row = group[order], row[order]
-    own = root[row]
-
-    def ends(new: np.ndarray) -> np.ndarray:
-        stops = np.append(np.flatnonzero(new) + 1, len(row))
-        return np.repeat(stops, np.diff(stops, prepend=0))
-
-    other = group[1:] != group[:-1]
-    start, stop = ends(other | (own[1:] != own[:-1])), ends(other)
-    count = stop - start
-    upto = np.cumsum(count)
-    a = 0
-    while a < len(row):
-        base = upto[a] - count[a]
-        b = max(a + 1, int(np.searchsorted(upto, base + BLOCK_PAIRS, side="right")))
-        n = count[a:b]
-        left = np.repeat(np.arange(a, b), n)
-        right = np.arange(len(left)) - np.repeat(upto[a:b] - n - base, n) + np.repeat(start[a:b], n)
-        if len(left):
-            found = np.unique(np.stack([row[left], row[right]], 1), axis=0)
-            yield found[:, 0], found[:, 1]
-        a = b
-
-
-def links(distinct: DataFrame, radius: int, n: int, bits: int = 64, apart: bool = False) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints `fp` (of 64 bits) whose components are those of all pairs within `radius` bits.
-
-    Fingerprints of fewer bits hold them at the top, and the number of their
-    table in the lowest TABLE_BITS (which never differ within a link); their
-    edges also join neighbours that share a variant, for a check of each, and
-    loops mark those of a variant that more than three share.  With `apart`,
-    rows have an id and a root as well, and every two ids within `radius` bits
-    whose roots differ are given (more than once).
-    """
-    more = ["id", "root"] if apart else []
+        pairs = np.unique(np.stack([first[group], member], 1), axis=0)
+        found.append(pairs[pairs[:, 0] != pairs[:, 1]])
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def links(distinct: DataFrame, radius: int, n: int) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints `fp` whose components are those of all pairs within `radius` bits."""
     half = radius // 2
-    wide = bits == 64
-    p = prefix_bits(n, half)
-    masks = [int(m) for m in _masks(list(range(p)), half)]
-    # beside a short fingerprint and its table's number there is room for the number of the mask: one long is shuffled, not two
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1)))
-    packed = distinct.select("fp", numbers.alias("m")) if wide else distinct.select("fp", *more, numbers.alias("m")).select(F.col("fp").bitwiseOR(F.shiftleft(F.col("m").cast("long"), TABLE_BITS)).alias("fp"), *more)
-    number = F.col("m") if wide else F.shiftright("fp", TABLE_BITS).bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")
-    key = F.shiftrightunsigned("fp", 64 - p).bitwiseXOR(F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), number + 1))
-    if not wide:
-        key = key.bitwiseOR(F.shiftleft(F.col("fp").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)), p))
-    keyed = packed.select("fp", key.alias("key")) if wide else packed
-    by = F.col("key") if wide else key
-    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * len(masks) // (4 * ROWS_A_PREFIX)))
-
-    flips = np.array(masks, np.uint64)
+    p = prefix_bits(n, half, ROWS_A_PREFIX, 8)
+    flips = [int(m) for m in masks(list(range(p)), half)]
+    keyed = distinct.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in flips])).alias("flip"))
+    keyed = keyed.select("fp", F.shiftrightunsigned("fp", 64 - p).bitwiseXOR(F.col("flip")).alias("key"))
+    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * len(flips) // (4 * ROWS_A_PREFIX)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(key: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            fps, *rest = zip(*held)
-            fps, at = np.concatenate(fps), (p, key & ((1 << p) - 1), half)
-            if apart:
-                ids, roots = (pa.concat_arrays(c) for c in rest)
-                roots = roots.dictionary_encode().indices.to_numpy()
-                if len(roots) and roots.max() > 0:
-                    for group, row in _shared(fps, *at, 64 - bits):
-                        for x, y in _all_pairs(group, roots, row):
-                            yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y))], names=["u", "v"])
-                return
-            u: list[np.ndarray] = []
-            v: list[np.ndarray] = []
-            _links(fps, *at, u, v, 0 if wide else 64 - bits, not wide)
-            if u:
-                pairs = np.unique(np.stack([np.concatenate(u), np.concatenate(v)], 1), axis=0)
+        def flush(key: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            pairs = _links(np.concatenate(held), p, key, half)
+            if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
         key, held = None, []
         for batch in batches:
-            fps = batch.column("fp").to_numpy().view(np.uint64)
-            if wide:
-                keys = batch.column("key").to_numpy()
-            else:
-                m, tab = (fps >> np.uint64(TABLE_BITS)) & np.uint64((1 << MASK_BITS) - 1), fps & np.uint64((1 << TABLE_BITS) - 1)
-                keys = (((fps >> np.uint64(64 - p)) ^ flips[m]) | (tab << np.uint64(p))).view(np.int64)
-                fps = fps ^ (m << np.uint64(TABLE_BITS))
+            fps, keys = batch.column("fp").to_numpy().view(np.uint64), batch.column("key").to_numpy()
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
                 if b > a:
@@ -247,186 +172,25 @@ def links(distinct: DataFrame, radius: int, n: int, bits: int = 64, apart: bool
                         yield from flush(key, held)
                         held = []
                     key = int(keys[a])
-                    held.append((fps[a:b], *(batch.column(c).slice(a, b - a) for c in more)))
+                    held.append(fps[a:b])
         if held:
             yield from flush(key, held)
 
-    kind = distinct.schema["id"].dataType.simpleString() if apart else "long"
-    return keyed.repartition(parts, by).sortWithinPartitions(by).mapInArrow(run, f"u {kind}, v {kind}")
+    return keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable over links of at most `radius` bits; even radius)."""
     fp, _ = table(fingerprints(docs, words), "fingerprints")
-    small, _ = table(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    small, _ = table(fp.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows")), "distinct")
     roots = components(links(small.select("fp"), radius, small.count()))
     grouped = roots.join(small, roots["node"] == small["fp"]).select("root", "node", "first_id")
     least = grouped.groupBy("root").agg(F.min("first_id").alias("root_id"))
     moved, _ = table(grouped.join(least, "root").filter("first_id <> root_id").select(F.col("node").alias("fp"), "root_id"), "moved")
-    ids, _ = table(small.join(moved, "fp", "left").select("fp", F.coalesce("root_id", "first_id").alias("component_id")), "ids")
-    return fp.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids, _ = table(small.join(moved, "fp", "left").select("fp", "rows", F.coalesce("root_id", "first_id").alias("component_id")), "ids")
+    return hot_join(fp, ids, "fp", "rows").select("doc_id", "fp", "component_id")
 
 
 def op7(docs: DataFrame) -> DataFrame:
     """The contract's columns: fingerprint as 16 hex digits."""
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-#: Bits of a short fingerprint and how many of them a document has, by the count of rows: random pairs stay as
-#: few as rows, and a pair of similarity 0.8 (15 % of bits differ) is within RADIUS bits in one of them in 98 % of cases or more.
-SHORT = ((1 << 20, 28, 22), (1 << 25, 32, 34), (1 << 62, 44, 140))
-RADIUS = 2
-#: Low bits of a short fingerprint's long that hold the number of its table, and those above them for that of a mask.
-TABLE_BITS, MASK_BITS = 8, 6
-#: Shingle hashes (the least) that a check of similarity holds; texts of fewer shingles are compared exactly.
-SKETCH = 4096
-#: Texts of each side whose sketches a check of a crowd's pairs holds at once.
-BLOCK_TEXTS = 250
-#: Ids (8 bytes each) that may be broadcast to choose texts.
-BROADCAST_IDS = 1_000_000
-
-
-def _shingles(text: str | None, words: int) -> np.ndarray:
-    """XXH64 of every shingle of a text."""
-    from xxhash import xxh64_intdigest
-
-    parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(parts)
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    ends = np.cumsum(size + 1) - 1
-    n = max(1, len(parts) - words + 1)
-    starts, stops = (ends - size)[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
-    return np.array([xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts, stops)], np.uint64)
-
-
-def _wide(text: str | None, words: int, bits: int) -> bytes:
-    """A fingerprint of many bits: majorities over the distinct shingles' hashes, each mixed into as many words as it takes."""
-    h = np.unique(_shingles(text, words))
-    salt = (np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
-    lanes = np.uint64(0x0101010101010101)
-    counts = np.zeros((len(salt), 8, 8), np.int64)
-    for a in range(0, len(h), 8160):
-        g = h[a : a + 8160] + salt
-        g = (g ^ (g >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        g = (g ^ (g >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        g ^= g >> np.uint64(31)
-        # eight bits of a word are counted at once, a byte for each, over 255 hashes at most
-        cuts = np.arange(0, g.shape[1], 255)
-        for k in range(8):
-            part = np.add.reduceat((g >> np.uint64(k)) & lanes, cuts, axis=1)
-            counts[:, :, k] += part.view(np.uint8).reshape(len(salt), -1, 8).sum(1, dtype=np.int64)
-    return np.packbits(2 * counts.reshape(-1) > len(h), bitorder="little").tobytes()
-
-
-def _similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sketches; exact unless one is full."""
-    both = np.union1d(a, b)
-    if max(len(a), len(b)) >= SKETCH:
-        both = both[:SKETCH]
-    if not len(both):
-        return 1.0
-    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).mean())
-
-
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id and component_id (the smallest doc_id reachable) over pairs of texts whose shingles' Jaccard similarity is at least this.
-
-    Candidates are pairs within RADIUS bits in one of several short
-    fingerprints, by ball hashing in each; every one is checked, by all bits
-    together (up to six deviations beyond what this similarity makes differ)
-    and then by its shingles.  Stars and neighbours come first; what crowds a
-    short fingerprint or a variant is then drawn in all pairs of texts that
-    those links leave apart.  Null doc_ids take no part; texts without words
-    are alike.
-    """
-    docs = docs.filter("doc_id is not null").select("doc_id", "text")
-    n = docs.count()
-    bits, tables = next((b, t) for most, b, t in SHORT if n <= most)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    total = -(-bits * tables // 64) * 64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 21):
-            key = [_wide(t, words, total) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(key, pa.binary())], names=["doc_id", "key"])
-
-    wide, _ = table(docs.mapInArrow(run, f"doc_id {kind}, key binary"), "wide")
-    small, _ = table(wide.groupBy("key").agg(F.min("doc_id").alias("id")), "representatives")
-    value = lambda t: F.shiftleft(F.conv(F.substring("digits", t * bits // 4 + 1, bits // 4), 16, 10).cast("long"), 64 - bits).bitwiseOR(F.lit(t))
-    parts = small.select("id", F.hex("key").alias("digits")).select("id", F.explode(F.array(*[value(t) for t in range(tables)])).alias("fp"))
-    # texts that share a short fingerprint are first checked against the first of them
-    members, _ = table(parts, "members")
-    firsts, _ = table(members.groupBy("fp").agg(F.min("id").alias("first"), F.count("id").alias("n")), "firsts")
-    same = members.join(firsts.drop("n"), "fp").filter("id <> first").select(F.col("first").alias("u"), F.col("id").alias("v"))
-    close, _ = table(links(firsts.select("fp"), RADIUS, firsts.count() // tables, bits).toDF("u_fp", "v_fp"), "close")
-    at = lambda c: firsts.select(F.col("fp").alias(f"{c}_fp"), F.col("first").alias(c))
-    near = close.filter("u_fp <> v_fp").join(at("u"), "u_fp").join(at("v"), "v_fp").select("u", "v")
-    drawn, _ = table(same.unionByName(near).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "drawn")
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
-            yield batch.select(["u", "v"]).filter(pa.array(np.bitwise_count(a ^ b).sum(1) <= most))
-
-    # of the pairs that chance brings together, all bits leave next to none
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most = total * share + 6 * np.sqrt(total * share * (1 - share))
-    key = lambda c: small.select(F.col("id").alias(c), F.col("key").alias(f"{c}_key"))
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 21):
-            some = [np.unique(_shingles(t, words))[:SKETCH].tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(some, pa.binary())], names=["doc_id", "sketch"])
-
-    def check(pairs: pa.Table, texts: pa.Table) -> pa.Table:
-        held: dict = {}
-        for i, x in zip(texts.column("node").to_pylist(), texts.column("sketch").to_pylist()):
-            held.setdefault(i, []).append(np.frombuffer(x, np.uint64))
-        got = [any(_similarity(x, y) >= similarity for x in held[a] for y in held[b]) for a, b in zip(pairs.column("u").to_pylist(), pairs.column("v").to_pylist())]
-        return pairs.select(["u", "v"]).filter(pa.array(got, pa.bool_()))
-
-    def checked(drawn: DataFrame) -> DataFrame:
-        """The drawn pairs that are alike; those of one crowd are checked in cells of BLOCK_TEXTS by BLOCK_TEXTS, each of which gets a text once."""
-        both = drawn.join(key("u"), "u").join(key("v"), "v").select("u", "v", "u_key", "v_key")
-        pairs, _ = table(both.mapInArrow(alike, f"u {kind}, v {kind}"), "pairs")
-        crowds = components(pairs)
-        blocks = crowds.groupBy("root").agg(F.ceil(F.count("node") / BLOCK_TEXTS).alias("blocks"))
-        places, _ = table(crowds.join(blocks, "root").select("node", "root", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "places")
-        asked = docs.join(F.broadcast(places.select(F.col("node").alias("doc_id"))) if places.count() <= BROADCAST_IDS else places.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        sketches, _ = table(asked.mapInArrow(sketch, f"doc_id {kind}, sketch binary"), "sketches")
-        of = lambda c: places.select(F.col("node").alias(c), F.col("block").alias(f"{c}_block"), *(["root"] if c == "u" else []))
-        cell = ["root", "i", "j"]
-        cells, _ = table(pairs.join(of("u"), "u").join(of("v"), "v").select("root", F.least("u_block", "v_block").alias("i"), F.greatest("u_block", "v_block").alias("j"), "u", "v"), "cells")
-        texts = cells.select(*cell, F.explode(F.array("u", "v")).alias("node")).distinct().join(sketches.toDF("node", "sketch"), "node").toDF("node", "c_root", "c_i", "c_j", "sketch")
-        found = cells.groupBy(*cell).cogroup(texts.groupBy("c_root", "c_i", "c_j")).applyInArrow(check, f"u {kind}, v {kind}")
-        return table(found, "alike")[0]
-
-    edges = checked(drawn)
-    roots = components(edges)
-    # pairs that stars and neighbours leave out: of a variant that more than three share, or with a text that isn't the first of its short fingerprint
-    several = firsts.filter("n > 1").select("fp")
-    beside = close.join(several.toDF("u_fp"), "u_fp", "left_semi").select(F.col("v_fp").alias("fp")).unionByName(close.join(several.toDF("v_fp"), "v_fp", "left_semi").select(F.col("u_fp").alias("fp")))
-    crowded = close.filter("u_fp = v_fp").select(F.col("u_fp").alias("fp")).unionByName(several).unionByName(beside).distinct()
-    rest, _ = table(members.join(crowded, "fp", "left_semi").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("fp", "id", F.coalesce("root", "id").alias("root")), "crowded")
-    if many := rest.count():
-        left = links(rest, RADIUS, many // tables, bits, apart=True)
-        left = left.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(drawn, ["u", "v"], "left_anti")
-        left, _ = table(left, "left")
-        if left.count():
-            roots = components(edges.unionByName(checked(left)))
-    found = wide.join(small, "key").select("doc_id", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-    return found.select("doc_id", F.coalesce("root", "id").alias("component_id"))
-
-
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row of each group of near copies stays, whole and with all columns: the one of the smallest doc_id.
-
-    Rows with a null doc_id stay.  Rows that repeat a doc_id are one document; one of them stays.
-    """
-    found = similar_groups(docs, words, similarity)
-    away, _ = table(found.filter("doc_id <> component_id").select("doc_id").distinct(), "away")
-    kept = docs.join(away, "doc_id", "left_anti").select(*docs.columns)
-    none = kept.filter("doc_id is null")
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(none)

@@ -74,7 +74,9 @@ def test_simhash(docs, empty):
     got = sorted(tuple(r) for r in simhash.op7(docs.filter("doc_id is not null")).collect())
     assert got == want
     assert simhash.op7(empty).count() == 0
-    kept = simhash.keep_one(docs)
+    from tagweave.llm import neardup
+
+    kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert 2 in ids and 3 not in ids and ids.count(6) == 1 and None in ids
@@ -327,13 +329,53 @@ def test_chain_against_quadratic():
     import numpy as np
 
     rng = np.random.default_rng(5)
-    for _ in range(30):
-        n = int(rng.integers(1, 40))
-        a, b = rng.integers(0, 60, n), rng.integers(0, 60, n)
-        seen = sorted(i for line in chaining.chain(a, b) for i in line.tolist())
-        assert seen == list(range(n))
-        for line in chaining.chain(a, b):
+    k, gap = chaining.K, chaining.GAP_COST
+    for _ in range(200):
+        n = int(rng.integers(1, 60))
+        a, b = np.unique(rng.integers(0, 90, (2, n)), axis=1)
+        n = len(a)
+        score = np.zeros(n)
+        for j in np.lexsort((b, a)):
+            before = [score[i] - gap * (a[j] - a[i] + b[j] - b[i]) for i in range(n) if a[i] < a[j] and b[i] < b[j]]
+            score[j] = k + max([0.0, *before])
+        lines = chaining.chain(a, b)
+        assert sorted(i for line in lines for i in line.tolist()) == list(range(n))
+        for line in lines:
             assert (np.diff(a[line]) > 0).all() and (np.diff(b[line]) > 0).all()
+        best = k * len(lines[0]) - gap * (np.diff(a[lines[0]]).sum() + np.diff(b[lines[0]]).sum())
+        assert abs(best - score.max()) < 1e-9
+
+
+def test_passages_hard(spark):
+    """A passage that repeats a phrase, ids that repeat, two passages far apart, lines of frequent passages, small edits all along."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    body = lambda n: [word() for _ in range(n)]
+    phrase, one, two = body(7) * 40, body(60), body(60)
+    lines = [body(20) for _ in range(3)]
+    rows = [(0, phrase + body(30)), (1, body(30) + phrase)]
+    rows += [(2, one + body(10)), (3, one + body(10)), (3, two + body(20)), (4, body(9) + two)]
+    a, b = body(70), body(70)
+    rows += [(5, a + body(120) + b), (6, a + body(120) + b)]
+    for i in range(12):  # each line has other first and last holders
+        rows.append((10 + i, body(40) + lines[i % 3] + body(40)))
+    rows += [(30, body(40) + sum(lines, []) + body(40)), (31, sum(lines, []))]
+    edited = {}
+    for i in range(20):
+        w = body(60)
+        e = [x if j % 10 != 5 else word() for j, x in enumerate(w)]
+        edited[40 + 2 * i] = 41 + 2 * i
+        rows += [(40 + 2 * i, body(30) + w), (41 + 2 * i, e + body(30))]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").withColumn("rep", F.lit(1)).withColumn("seed", F.lit("x"))
+    got = {}
+    for r in chaining.op10(df).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    assert got[0][0]["passages"] == "0:280" and got[1][0]["passages"] == "30:310" and got[1][0]["class_id"] == 0
+    assert sorted(r["class_id"] for r in got[3]) == [2, 3] and got[4][0]["class_id"] == 3 and got[4][0]["passages"] == "9:69"
+    assert got[5][0]["passages"] == "0:70,190:260" == got[6][0]["passages"]
+    assert got[30][0]["passages"] == "40:100" and got[31][0]["class_id"] == 30
+    assert all(got[10 + i][0]["n_passages"] == 0 for i in range(12))
+    assert sum(got[j][0]["class_id"] == i for i, j in edited.items()) >= 18
 
 
 def test_ann(spark):
