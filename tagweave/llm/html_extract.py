@@ -48,9 +48,8 @@ SCOPE = frozenset("ul ol dl table td th div section article body html blockquote
 
 HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 
-_OPEN = re.compile(r"<(?=[!?a-zA-Z/])")
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
-_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_TAG = re.compile(_NAME.pattern[:-1] + r"+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _HIDES = re.compile(r"display\s*:\s*none", re.I)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
@@ -64,26 +63,24 @@ def _marks(html: str) -> Generator[tuple[int, int, str, str, str], int | None, N
     open to the end of the page ends at the next ">", and so do all after it.
     """
     at, last, quotes = 0, html.rfind(">"), True
-    while m := _OPEN.search(html, at):
-        start = m.start()
-        if html[start + 1] in "!?":
-            end = html.find("-->", start + 4) if html.startswith("<!--", start) else html.find(">", start)
-            at = len(html) if end < 0 else end + (3 if html.startswith("<!--", start) else 1)
+    while (start := html.find("<", at)) >= 0:
+        if html.startswith(("!", "?"), start + 1):
+            comment = html.startswith("<!--", start)
+            end = html.find("-->", start + 4) if comment else html.find(">", start)
+            at = len(html) if end < 0 else end + (3 if comment else 1)
             at = (yield start, at, "", "", "") or at
             continue
-        name = _NAME.match(html, start)
         if start > last:
             return
-        if not name:
-            at = start + 1
-            continue
-        end = _QUOTED.match(html, name.end()) if quotes else None
-        if end is None:
+        if quotes and (m := _TAG.match(html, start)):
+            at = m.end()
+            at = (yield start, at, m[1], m[2].lower(), m[3]) or at
+        elif name := _NAME.match(html, start):
             quotes = False
             at = html.find(">", name.end()) + 1
+            at = (yield start, at, name[1], name[2].lower(), html[name.end() : at - 1]) or at
         else:
-            at = end.end()
-        at = (yield start, at, name[1], name[2].lower(), html[name.end() : at - 1]) or at
+            at = start + 1
 
 
 class Block:
