@@ -378,6 +378,39 @@ def test_passages_hard(spark):
     assert sum(got[j][0]["class_id"] == i for i, j in edited.items()) >= 18
 
 
+def test_passages_of_frequent_seeds(spark):
+    """A passage each part of which many more texts hold; a notice that all texts of a kind hold; lines that nearly all hold: as if all holders of every seed were paired."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    body = lambda n: [word() for _ in range(n)]
+    passage, notice, line, other = body(60), body(55), body(13), body(14)
+    rows = {i: body(30) + passage + body(30) for i in (0, 1)}
+    for i in range(120):  # parts that overlap by 20 words hold every seed of the passage
+        at = 10 * (i % 4)
+        rows[10 + i] = body(20) + passage[at : at + 30] + body(20)
+    tail = body(6)
+    for i in range(200, 230):
+        rows[i] = body(15) + notice + (tail if i % 7 == 3 else []) + body(20)
+    for i in range(220, 245):
+        rows[i] = rows.get(i, body(10)) + line + body(40) + (other if i % 2 else []) + body(5)
+    for i in range(240, 245):  # a line and what surrounds it, with single words changed
+        w = rows[i][:8] + line + body(60)
+        rows[i + 20] = w
+        rows[i + 40] = [x if j % 9 != 4 else word() for j, x in enumerate(w)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id long, text string")
+    columns = ["doc_id", "class_id", "n_passages", "n_words", "passages"]
+    got = {r["doc_id"]: tuple(r) for r in chaining.op10(df).select(*columns).collect()}
+    assert got[0][1:] == got[1][1:] == (0, 1, 60, "30:90")
+    assert all(got[10 + i][1:3] == (10 + i, 0) for i in range(120))
+    assert all(got[i][1] == 200 for i in range(200, 230))
+    kept = chaining.ALL_HOLDERS
+    try:
+        chaining.ALL_HOLDERS = 1_000_000
+        assert got == {r["doc_id"]: tuple(r) for r in chaining.op10(df).select(*columns).collect()}
+    finally:
+        chaining.ALL_HOLDERS = kept
+
+
 def test_ann(spark):
     import numpy as np
 
