@@ -4,10 +4,10 @@ One 64-bit fingerprint can't tell a pair of similarity 0.8, of which 15 % of the
 bits differ, from chance.  So a text has `tables` short codes; in each, pairs
 within RADIUS bits are found by meeting in the middle (variants within half
 the radius, see `simhash`), and each pair is then checked by its whole sets of
-shingles.  `widths` gives bits and tables: bits grow by one each time the rows
-double, so that chance pairs a row stay nearly constant, and tables grow with
-them so that a pair of exactly the least similarity is always found with the
-same probability RECALL.  Nothing else depends on the size of the input.
+shingles.  Bits (CODE_BITS) and tables (`tables_of`, so that a pair of exactly the
+least similarity is drawn with probability RECALL) are the same for every input:
+a pair that is drawn in one table of texts is drawn in any other.  Only the chance
+pairs a row, and so the work, grow with the rows.
 
 What keeps skewed tables in bounds:
 
@@ -19,9 +19,9 @@ What keeps skewed tables in bounds:
   and tables make clusters, and every pair drawn lies within one.
 * Within a cluster all texts are compared by whole sets of shingles through an
   inverted index (`linked`), which gives at most one link a text.
-* A prefix with more than twice KEY_ROWS rows is dealt out in blocks, in each
-  table anew; a cluster of more than CELL_BYTES of shingles is compared in cells
-  of two blocks.  Work there grows with the square of a cluster's texts that are
+* A prefix with more than twice KEY_ROWS rows is dealt out in blocks, and a
+  cluster of more than CELL_BYTES of shingles too; both are compared in cells of
+  two blocks, so that every two rows meet.  Work there grows with the square of a cluster's texts that are
   not near copies of its middle; memory doesn't.
 
 Cases: rows with a null doc_id take no part; null, empty and blank texts are
@@ -45,6 +45,8 @@ from tagweave.llm.common import beside, components, fresh, hot_join, slices, tab
 from tagweave.llm.simhash import masks, prefix_bits, shared, shingles, word_bytes
 
 RADIUS = 4
+#: Bits of a code.
+CODE_BITS = 40
 #: Probability that a pair of exactly the least similarity is drawn.
 RECALL = 0.95
 #: Low bits of a code's long that hold the number of its table.
@@ -55,7 +57,7 @@ CHECK_BITS, DEVIATIONS = 52, 4.0
 SIZE_BASE = 1.01
 #: Texts that share a variant and are compared two by two; more are taken as connected where their counts of shingles allow.
 GROUP = 16
-#: Rows aimed at under one prefix of a table; a task holds at most twice as many.
+#: Rows aimed at under one prefix of a table; a task holds at most about twice as many.
 KEY_ROWS = 2_400_000
 #: Bytes of shingles that a check holds a side, about.
 CELL_BYTES = 8 << 20
@@ -63,12 +65,11 @@ CELL_BYTES = 8 << 20
 HELD_PAIRS = 1_000_000
 
 
-def widths(n: int, similarity: float) -> tuple[int, int]:
-    """Bits of a code and count of tables for n texts."""
-    bits = min(16 + max(16, math.ceil(math.log2(max(n, 2)))), 64 - TABLE_BITS)
+def tables_of(similarity: float) -> int:
+    """Count of tables that draw a pair of exactly this similarity with probability RECALL."""
     share = differing(similarity)
-    hit = sum(math.comb(bits, k) * share**k * (1 - share) ** (bits - k) for k in range(RADIUS + 1))
-    return bits, min(math.ceil(math.log(1 - RECALL) / math.log(1 - hit)), (1 << TABLE_BITS) - 1)
+    hit = sum(math.comb(CODE_BITS, k) * share**k * (1 - share) ** (CODE_BITS - k) for k in range(RADIUS + 1))
+    return min(math.ceil(math.log(1 - RECALL) / math.log(1 - hit)), (1 << TABLE_BITS) - 1)
 
 
 def differing(similarity: float) -> float:
@@ -161,7 +162,9 @@ def _edges(texts: DataFrame, bits: int, tables: int, n: int, limits: Limits) ->
     key = F.shiftleft(tab, p).bitwiseOR(F.shiftrightunsigned("code", 64 - p).bitwiseXOR(F.col("flip")))
     each = each.withColumn("key", key).drop("flip")
     hot, _ = table(each.groupBy("key").count().filter(F.col("count") > 2 * KEY_ROWS).select("key", F.ceil(F.col("count") / KEY_ROWS).cast("int").alias("blocks")), "hot")
-    each = each.join(hot, "key", "left").withColumn("block", F.pmod(F.xxhash64("rid", "key"), F.coalesce("blocks", F.lit(1))))
+    each = each.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("rid", "key"), "blocks").cast("int"))
+    each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    each = each.withColumn("block", F.least("own", "other") * F.col("blocks").cast("long") + F.greatest("own", "other"))
     floor = 64 - bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +268,7 @@ def _grouped(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """doc_id, h (XXHash of the text) and the least (doc_id, h) of the row's component, as `first`, for rows with a doc_id."""
     docs = docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"), "text")
     n = docs.count()
-    bits, tables = widths(n, similarity)
+    bits, tables = CODE_BITS, tables_of(similarity)
     kind = docs.schema["doc_id"].dataType.simpleString()
     total = -(-(bits * tables + CHECK_BITS) // 64) * 64
     limits = Limits(similarity)

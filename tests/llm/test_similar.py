@@ -87,3 +87,23 @@ def test_templated_source(spark):
     recall = np.mean([got[a] == got[b] for a, b in pairs])
     assert recall >= 0.97
     assert len(set(got.values())) >= len(docs) - len(pairs)
+
+
+def test_groups_do_not_depend_on_size(spark):
+    """Pairs are drawn alike however many rows there are and however a crowded prefix is dealt out."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(4, 8))) for _ in range(4000)]
+    head = rng.choices(words, k=180)
+    rows = [head + rng.choices(words, k=28) for _ in range(200)]
+    rows += [w[:190] + rng.choices(words, k=18) for w in rows[:100]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    groups = lambda: {r["doc_id"]: r["component_id"] for r in neardup.similar_groups(df).collect()}
+    kept = neardup.KEY_ROWS, neardup.RECALL
+    try:
+        neardup.RECALL = 0.4  # two tables
+        whole = groups()
+        assert len(set(whole.values())) < 250
+        neardup.KEY_ROWS = 100
+        assert groups() == whole
+    finally:
+        neardup.KEY_ROWS, neardup.RECALL = kept
