@@ -411,6 +411,35 @@ def test_passages_of_frequent_seeds(spark):
         chaining.ALL_HOLDERS = kept
 
 
+def test_passages_of_runs(spark):
+    """Runs of one word and near copies that many texts hold: as if all holders of every seed were paired, from far fewer pairs."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    body = lambda n: [word() for _ in range(n)]
+    common, notice = ["and", "the", "of", "a", "in", "to"], body(120)
+    rows = []
+    for i in range(90):  # a few runs each, some of one word twice
+        rows.append(body(rng.randrange(12)) + sum(([rng.choice(common)] * rng.randrange(16, 60) + body(rng.choice([0, 0, 3, 15])) for _ in range(rng.randrange(1, 3))), []) + body(9))
+    for i in range(60):  # one notice, words left out, added and changed
+        w = list(notice)
+        for _ in range(3):
+            j = rng.randrange(len(w))
+            w[j : j + 1] = rng.choice([[], [word()], [w[j], word()]])
+        rows.append(body(10) + w + body(10))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    columns = ["doc_id", "class_id", "n_passages", "n_words", "passages"]
+    drawn, frequent = [], chaining._frequent
+    kept = chaining.ALL_HOLDERS
+    try:
+        chaining._frequent = lambda *a: drawn.append(frequent(*a)) or drawn[-1]
+        got = {r["doc_id"]: tuple(r) for r in chaining.op10(df).select(*columns).collect()}
+        assert drawn[0].distinct().count() < 10 * len(rows)
+        chaining.ALL_HOLDERS = 1_000_000
+        assert got == {r["doc_id"]: tuple(r) for r in chaining.op10(df).select(*columns).collect()}
+    finally:
+        chaining.ALL_HOLDERS, chaining._frequent = kept, frequent
+
+
 def test_ann(spark):
     import numpy as np
 
